@@ -56,10 +56,14 @@ def daily_series(
     family_col: str = "familia",
     value_cols=("base_imponible", "total"),
     easter_rule: str = "window",
+    keep_decimal: bool = False,
 ) -> DataFrame:
-    """A3: one row per (date, family) with summed measures and calendar columns (D3)."""
+    """A3: one row per (date, family) with summed measures and calendar columns (D3).
+
+    ``keep_decimal`` leaves DECIMAL sums for further exact roll-ups (A4/A5).
+    """
     out = df.groupBy(F.col(date_col), F.col(family_col)).agg(
-        *[F.sum(c).cast("double").alias(c) for c in value_cols]
+        *[(F.sum(c) if keep_decimal else F.sum(c).cast("double")).alias(c) for c in value_cols]
     )
     return cal.add_daily_calendar(out, date_col, easter_rule)
 

@@ -102,10 +102,11 @@ def weekly(min_days: int = 7, src: str = "sales", name: str = "weekly") -> str:
   where dias_semana >= {min_days})"""
 
 
-def daily(src: str = "sales", name: str = "daily") -> str:
+def daily(src: str = "sales", name: str = "daily", exact: bool = False) -> str:
     """A3 daily series with calendar columns (Easter = 24 Mar … 10 Apr window)."""
+    money = "base_imponible, total" if exact else "cast(base_imponible as double) as base_imponible, cast(total as double) as total"
     return f"""{name} as (
-  select fecha, familia, cast(base_imponible as double) as base_imponible, cast(total as double) as total,
+  select fecha, familia, {money},
          cast({dow('fecha')} as integer) as day_of_week, cast(month(fecha) as integer) as month,
          cast(week(fecha) as integer) as week, cast(year(fecha) as integer) as year,
          cast({dow('fecha')} in (5, 6) as integer) as is_weekend, {is_summer('fecha')} as is_summer_peak,
@@ -127,3 +128,75 @@ def features(lags=(1, 2, 3, 52), horizon: int = 1, src: str = "weekly", name: st
            lead(base_imponible, {horizon}) over (partition by familia order by week_start) as target
     from {src})
   where {notnull})"""
+
+
+def sales_lines(name: str = "sales") -> str:
+    return SALES_LINES.replace("sales as (", f"{name} as (", 1)
+
+
+def sales_full(name: str = "sales") -> str:
+    return SALES_FULL.replace("sales as (", f"{name} as (", 1)
+
+
+FIXTURE_FAMILIES = ("cerrado", "ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD")
+
+
+def homogenized(src: str = "sales_dirty", name: str = "homog") -> str:
+    fams = ", ".join(f"'{f}'" for f in FIXTURE_FAMILIES)
+    return f"""{name} as (
+  select * from (
+    select fecha, n_factura, upper(trim(producto)) as producto,
+           case when familia = 'ECONOM' then 'ECONOMY' else familia end as familia,
+           cantidad, base_imponible, tipo_iva, total
+    from {src})
+  where familia in ({fams}))"""
+
+
+def half_up(n: str, d: str) -> str:
+    return f"(case when ({n}) < 0 then -((2 * abs({n}) + ({d})) // (2 * ({d}))) else (2 * ({n}) + ({d})) // (2 * ({d})) end)"
+
+
+def imputed(src: str, cols: dict, target: str, months: tuple, year: int, name: str = "imputed") -> str:
+    """C3 mean-of-means imputation with exact half-up rounding (two neighbour months)."""
+    m0, m1 = months
+    mo = "date_trunc('month', fecha)"
+    aggs = []
+    for c, sc in cols.items():
+        unit = 10**sc
+        aggs += [
+            f"cast(sum(case when {mo} = date '{m0}' then {c} end) * {unit} as hugeint) as u0_{c}",
+            f"count(case when {mo} = date '{m0}' then {c} end) as n0_{c}",
+            f"cast(sum(case when {mo} = date '{m1}' then {c} end) * {unit} as hugeint) as u1_{c}",
+            f"count(case when {mo} = date '{m1}' then {c} end) as n1_{c}",
+            f"cast(sum(case when year(fecha) = {year} then {c} end) * {unit} as hugeint) as uy_{c}",
+            f"count(case when year(fecha) = {year} then {c} end) as ny_{c}",
+            f"count(case when {mo} = date '{target}' and {c} is null then 1 end) as k_{c}",
+        ]
+    fills = []
+    for c, sc in cols.items():
+        f0 = f"cast(case when n0_{c} > 0 then n0_{c} else 1 end as hugeint)"
+        f1 = f"cast(case when n1_{c} > 0 then n1_{c} else 1 end as hugeint)"
+        big_n = f"((case when n0_{c} > 0 then u0_{c} * {f1} else 0 end) + (case when n1_{c} > 0 then u1_{c} * {f0} else 0 end))"
+        m = f"(cast(n0_{c} > 0 as integer) + cast(n1_{c} > 0 as integer))"
+        big_d = f"(cast({m} as hugeint) * {f0} * {f1})"
+        step1 = f"(case when {m} > 0 then {half_up(big_n, big_d)} end)"
+        kk = f"(case when {step1} is not null then k_{c} else 0 end)"
+        yn = f"(coalesce(uy_{c}, 0) + coalesce({step1}, 0) * {kk})"
+        yd = f"(ny_{c} + {kk})"
+        year_units = f"(case when {yd} > 0 then {half_up(yn, yd)} end)"
+        step = "0." + "0" * (sc - 1) + "1"
+        fills.append(f"cast(cast(coalesce({step1}, {year_units}) as decimal(18,0)) * {step} as decimal(38,{sc})) as f_{c}")
+    sel = []
+    flags = []
+    for c in cols:
+        sel.append(f"case when {mo} = date '{target}' and s.{c} is null then f_{c} else s.{c} end as {c}")
+        flags.append(f"({mo} = date '{target}' and s.{c} is null and f_{c} is not null)")
+    keep = " and ".join(f"{c} is not null" for c in cols)
+    others = "fecha, n_factura, producto, s.familia as familia, cantidad"
+    return f"""stats as (select familia, {", ".join(aggs)} from {src} group by familia),
+fills as (select familia, {", ".join(fills)} from stats),
+{name} as (
+  select * from (
+    select {others}, {", ".join(sel)}, cast({" or ".join(flags)} as integer) as is_imputed
+    from {src} s left join fills f on s.familia = f.familia)
+  where {keep})"""

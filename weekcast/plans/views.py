@@ -31,6 +31,6 @@ def weekly(spark: SparkSession, sf_dir: str, min_days: int = 7) -> DataFrame:
     return rollup.weekly_rollup(cal.add_calendar_flags(sales(spark, sf_dir)), min_days=min_days)
 
 
-def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily(spark: SparkSession, sf_dir: str, keep_decimal: bool = False) -> DataFrame:
     """A3 daily series with calendar columns."""
-    return rollup.daily_series(sales(spark, sf_dir))
+    return rollup.daily_series(sales(spark, sf_dir), keep_decimal=keep_decimal)
