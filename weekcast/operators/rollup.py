@@ -82,10 +82,12 @@ def weekly_resample(
     date_col: str = "fecha",
     family_col: str = "familia",
     value_cols=("base_imponible", "total", "is_easter", "is_summer_peak"),
+    keep_decimal: bool = False,
 ) -> DataFrame:
     """A4: Sunday-labelled weekly sums; empty weeks inside a family's span are 0.
 
     The flags are summed (EDA semantics), unlike A1 which takes their max.
+    ``keep_decimal`` keeps exact sums for later window arithmetic.
     """
     label = cal.week_ending_sunday(date_col)
     sums = daily.groupBy(label.alias("_label"), F.col(family_col)).agg(
@@ -93,11 +95,11 @@ def weekly_resample(
     )
     spine = _family_spine(sums, family_col, F.col("_label"), "7 DAYS")
     out = spine.join(sums, ["_label", family_col], "left")
-    return out.select(
-        F.col("_label").alias(date_col),
-        family_col,
-        *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in value_cols],
-    )
+    if keep_decimal:
+        filled = [F.coalesce(F.col(c), F.lit(0)).alias(c) for c in value_cols]
+    else:
+        filled = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) for c in value_cols]
+    return out.select(F.col("_label").alias(date_col), family_col, *filled)
 
 
 def monthly_spine(
