@@ -86,3 +86,26 @@ def forecast_correlation(
 def residuals(df: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     """residual = actual − predicted per row."""
     return df.withColumn("residual", F.col(actual) - F.col(predicted))
+
+
+def fold_run_log(
+    predictions: DataFrame,
+    folds: DataFrame,
+    keys=("familia", "week_start"),
+    digits: int = 4,
+) -> DataFrame:
+    """One run-log row per (family, model, fold) of an expanding-window backtest.
+
+    ``predictions``: keys, model, actual, predicted.  ``folds``: keys, fold, role.
+    A run's ``created`` date is its first test week; ``mae`` is rounded to
+    ``digits`` so rankings of runs do not depend on summation order.
+    """
+    test = folds.where(F.col("role") == "test").select(*keys, "fold")
+    j = predictions.join(test, list(keys))
+    out = j.groupBy("familia", "model", "fold").agg(
+        F.min("week_start").alias("created"),
+        F.count(F.lit(1)).cast("bigint").alias("n"),
+        F.round(F.avg(F.abs(F.col("actual") - F.col("predicted"))), digits).alias("mae"),
+    )
+    name = F.concat_ws("/", F.col("model"), F.col("familia"), F.col("fold").cast("string"))
+    return out.select(name.alias("run_name"), "familia", "model", F.col("fold").cast("int").alias("fold"), "created", "n", "mae")

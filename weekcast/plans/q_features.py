@@ -164,7 +164,7 @@ pos as (select familia, week_start, base_imponible,
                row_number() over (partition by familia order by week_start) - 1 as p,
                count(*) over (partition by familia) as n from weekly)
 select familia, week_start, base_imponible,
-       case when week_start <= max(case when p = floor(n * 0.8) then week_start end) over (partition by familia)
+       case when week_start <= max(case when p = floor(n * cast(0.8 as double)) then week_start end) over (partition by familia)
             then 'train' else 'test' end as role
 from pos""",
 )
@@ -179,7 +179,7 @@ def temporal_split(spark, sf_dir):
     f"""with {WEEKLY},
 wk as (select week_start, row_number() over (order by week_start) as k, count(*) over () as n
        from (select distinct week_start from weekly)),
-b as (select week_start as split_week from wk where k = floor(n * 0.8))
+b as (select week_start as split_week from wk where k = floor(n * cast(0.8 as double)))
 select familia, week_start, base_imponible,
        case when week_start <= (select split_week from b) then 'train' else 'test' end as role
 from weekly""",
@@ -229,7 +229,7 @@ BASE_FEATURES_SQL = (
     f"""
 wk as (select week_start, row_number() over (order by week_start) as k, count(*) over () as n
        from (select distinct week_start from bfeat)),
-bsplit as (select *, case when week_start <= (select week_start from wk where k = floor(n * 0.8)) then 'train' else 'test' end as role
+bsplit as (select *, case when week_start <= (select week_start from wk where k = floor(n * cast(0.8 as double))) then 'train' else 'test' end as role
            from bfeat)"""
 )
 

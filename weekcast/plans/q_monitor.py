@@ -1,3 +1,302 @@
-"""Registered queries."""
+"""Queries: data quality, drift, histograms and the run log."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..functions import calendar as cal
+from ..operators import evaluate, features, monitor, split
+from ..sources import tables
+from . import q_features
+from . import sqltext as q
+from . import views
+from .catalog import query
+
+DIGITS = {
+    "psi": 10, "psi_shared": 10, "ks_statistic": 10, "ks_p_value": 10,
+    "baseline_mean": 8, "current_mean": 8, "baseline_std": 8, "current_std": 8,
+}
+
+
+def _r(df, digits=DIGITS):
+    return df.withColumns({c: F.round(c, d) for c, d in digits.items() if c in df.columns})
+
+
+# ---------------------------------------------------------------- SQL pieces (DuckDB)
+
+
+def _side_stats_sql(src, g):
+    gb = f"{g}, " if g else ""
+    return f"""select {gb}avg(case when side = 'baseline' then value end) as baseline_mean,
+       avg(case when side = 'current' then value end) as current_mean,
+       stddev_pop(case when side = 'baseline' then value end) as baseline_std,
+       stddev_pop(case when side = 'current' then value end) as current_std,
+       cast(count(case when side = 'baseline' then 1 end) as bigint) as baseline_size,
+       cast(count(case when side = 'current' then 1 end) as bigint) as current_size
+from {src} {"group by " + g if g else ""}"""
+
+
+def _psi_sql(src, g, mode, name="psi"):
+    gb = f"{g}, " if g else ""
+    part = f"partition by {g}" if g else ""
+    join = " and ".join([f"s.{c} = t.{c}" for c in g.split(", ")] if g else []) or "true"
+    if mode == "shared":
+        lo, hi = f"min(lo0) over ({part})", f"max(hi0) over ({part})"
+    else:
+        lo, hi = "lo0", "hi0"
+    return f"""(with st0 as (select {gb}side, min(value) as lo0, max(value) as hi0, count(*) as n from {src} group by {gb}side),
+st1 as (select {gb}side, n, {lo} as lo1, {hi} as hi1 from st0),
+st as (select {gb}side, n, case when hi1 = lo1 then lo1 - 0.5 else lo1 end as lo,
+              case when hi1 = lo1 then hi1 + 0.5 else hi1 end as hi from st1),
+b as (select {",".join(f"s.{c}" for c in g.split(", ")) + "," if g else ""} s.side,
+             cast(least(greatest(floor((s.value - t.lo) * (10.0 / (t.hi - t.lo))), 0), 9) as integer) as bucket
+      from {src} s join st t on {join} and s.side = t.side),
+c as (select {gb}bucket, count(case when side = 'baseline' then 1 end) as ce, count(case when side = 'current' then 1 end) as ca
+      from b group by all),
+sz as (select {gb}max(case when side = 'baseline' then n end) as ne, max(case when side = 'current' then n end) as na
+       from st {"group by " + g if g else ""}),
+sp as (select sz.*, unnest(range(0, 10)) as bucket from sz),
+f as (select sp.*, coalesce(c.ce, 0) / sp.ne as e0, coalesce(c.ca, 0) / sp.na as a0
+      from sp left join c on {" and ".join([f"sp.{x} = c.{x}" for x in g.split(", ")] if g else []) + (" and " if g else "")}sp.bucket = c.bucket),
+f2 as (select *, case when e0 = 0 then 0.0001 else e0 end as e, case when a0 = 0 then 0.0001 else a0 end as a from f)
+select {gb}sum((a - e) * ln(a / e)) as {name} from f2 {"group by " + g if g else ""})"""
+
+
+def _pvalue_sql(d, n1, n2, terms=monitor.KS_TERMS):
+    en = f"((cast({n1} as double) * cast({n2} as double)) / cast({n1} + {n2} as double))"
+    z = f"(sqrt({en}) * {d})"
+    total = "0.0"
+    for j in range(1, terms + 1):
+        sign = "1.0" if j % 2 else "-1.0"
+        total = f"({total} + {sign} * exp({-2.0 * j * j} * {z} * {z}))"
+    return f"(case when {z} < 0.15 then 1.0 else least(greatest(2.0 * {total}, 0.0), 1.0) end)"
+
+
+def _ks_sql(src, g):
+    gb = f"{g}, " if g else ""
+    part = f"partition by {g}" if g else ""
+    on = " and ".join(f"cu.{c} = sz.{c}" for c in g.split(", ")) if g else "true"
+    return f"""(with pv as (select {gb}value, count(case when side = 'baseline' then 1 end) as cb,
+                    count(case when side = 'current' then 1 end) as cc from {src} group by all),
+cu as (select {gb}sum(cb) over ({part} order by value) as ccb, sum(cc) over ({part} order by value) as ccc from pv),
+sz as (select {gb}sum(cb) as nb, sum(cc) as nc from pv {"group by " + g if g else ""}),
+k as (select {",".join(f"cu.{c}" for c in g.split(", ")) + "," if g else ""} max(abs(ccb / nb - ccc / nc)) as ks_statistic,
+             max(nb) as nb, max(nc) as nc from cu join sz on {on} {"group by " + ",".join(f"cu.{c}" for c in g.split(", ")) if g else ""})
+select {gb}ks_statistic, {_pvalue_sql("ks_statistic", "nb", "nc")} as ks_p_value from k)"""
+
+
+def _report_sql(src, g):
+    gb = f"{g}, " if g else ""
+    using = f"using ({g})" if g else "on true"
+    alert = """case when baseline_size >= 10 and current_size >= 10 then
+       case when psi > 0.25 or ks_p_value < 0.01 then 'high' when psi > 0.1 or ks_p_value < 0.05 then 'medium' else 'low' end
+       else 'insufficient_data' end"""
+    return f"""select {gb}round(baseline_mean, 8) as baseline_mean, round(current_mean, 8) as current_mean,
+       round(baseline_std, 8) as baseline_std, round(current_std, 8) as current_std, baseline_size, current_size,
+       round(psi, 10) as psi, round(psi_shared, 10) as psi_shared, round(ks_statistic, 10) as ks_statistic,
+       round(ks_p_value, 10) as ks_p_value, {alert} as alert_level
+from ({_side_stats_sql(src, g)}) ss
+left join {_psi_sql(src, g, "independent")} p1 {using}
+left join {_psi_sql(src, g, "shared", "psi_shared")} p2 {using}
+left join {_ks_sql(src, g)} k {using}"""
+
+
+EVENT_SIDES_SQL = """sides as (
+  select case when p < floor(n * cast(0.7 as double)) then 'baseline' else 'current' end as side, value
+  from (select value, row_number() over (order by ts, event_id) - 1 as p, count(*) over () as n from events)
+  where value is not null)"""
+
+
+def _event_sides(spark, sf_dir):
+    ev = tables.table(spark, sf_dir, "events")
+    return monitor.split_sides_global(ev, ["ts", "event_id"], "value")
+
+
+# ---------------------------------------------------------------- drift
+
+
+@query(
+    "drift_psi",
+    f"""with {EVENT_SIDES_SQL}
+select 'independent' as mode, round(psi, 10) as psi from {_psi_sql("sides", "", "independent")}
+union all
+select 'shared' as mode, round(psi, 10) as psi from {_psi_sql("sides", "", "shared")}""",
+)
+def drift_psi(spark, sf_dir):
+    """PSI of ``events.value`` (first 70 % vs last 30 % by time), both binning modes."""
+    sides = _event_sides(spark, sf_dir)
+    ind = monitor.psi(sides, mode="independent").select(F.lit("independent").alias("mode"), "psi")
+    sh = monitor.psi(sides, mode="shared").select(F.lit("shared").alias("mode"), "psi")
+    return _r(ind.unionByName(sh))
+
+
+@query(
+    "drift_ks",
+    f"""with {EVENT_SIDES_SQL}
+select round(ks_statistic, 10) as ks_statistic, round(ks_p_value, 10) as ks_p_value from {_ks_sql("sides", "")}""",
+)
+def drift_ks(spark, sf_dir):
+    """Two-sample KS statistic and asymptotic p-value of ``events.value``."""
+    return _r(monitor.ks(_event_sides(spark, sf_dir)))
+
+
+@query("drift_report", f"with {EVENT_SIDES_SQL} " + _report_sql("sides", ""))
+def drift_report(spark, sf_dir):
+    """Full drift report of ``events.value`` with alert level."""
+    return _r(monitor.drift_report(_event_sides(spark, sf_dir)))
+
+
+FEATURE_COLS = ("base_imponible", "is_summer_peak", "is_easter", "dias_semana")
+
+
+@query(
+    "drift_all_features",
+    f"""with {q.SALES_LINES}, {q.weekly(7)},
+long as (select familia, week_start, feature, cast(value as double) as value from weekly
+         unpivot (value for feature in ({", ".join(FEATURE_COLS)}))),
+fsides as (select feature, familia,
+                  case when row_number() over (partition by feature, familia order by week_start) - 1
+                            < floor(count(*) over (partition by feature, familia) * cast(0.7 as double)) then 'baseline' else 'current' end as side,
+                  value from long where value is not null)
+{_report_sql("fsides", "feature, familia")}""",
+)
+def drift_all_features(spark, sf_dir):
+    """P12 re-aimed: drift report for every numeric feature of every family's weekly series."""
+    w = views.weekly(spark, sf_dir, 7)
+    long = w.select(
+        "familia",
+        "week_start",
+        F.expr(
+            f"stack({len(FEATURE_COLS)}, " + ", ".join(f"'{c}', cast(`{c}` as double)" for c in FEATURE_COLS) + ") as (feature, value)"
+        ),
+    )
+    sides = monitor.split_sides_grouped(long, ["feature", "familia"], "week_start", "value")
+    return _r(monitor.drift_report(sides, ["feature", "familia"]))
+
+
+@query(
+    "histogram_compare",
+    f"""with {EVENT_SIDES_SQL},
+r as (select case when max(value) = min(value) then min(value) - 0.5 else min(value) end as lo,
+             case when max(value) = min(value) then max(value) + 0.5 else max(value) end as hi from sides),
+b as (select side, cast(least(greatest(floor((value - lo) * (30.0 / (hi - lo))), 0), 29) as integer) as bin from sides, r),
+c as (select bin, cast(count(case when side = 'baseline' then 1 end) as bigint) as n_baseline,
+             cast(count(case when side = 'current' then 1 end) as bigint) as n_current from b group by bin),
+sp as (select cast(unnest(range(0, 30)) as integer) as bin, lo, hi from r)
+select sp.bin, lo + sp.bin * ((hi - lo) / 30.0) as bin_lo, lo + (sp.bin + 1) * ((hi - lo) / 30.0) as bin_hi,
+       coalesce(n_baseline, 0) as n_baseline, coalesce(n_current, 0) as n_current
+from sp left join c on sp.bin = c.bin""",
+)
+def histogram_compare(spark, sf_dir):
+    """30-bin histogram of both sides over their shared range."""
+    return monitor.histogram_compare(_event_sides(spark, sf_dir), 30)
+
+
+@query(
+    "box_summary",
+    f"""with {EVENT_SIDES_SQL}
+select side, round(quantile_cont(value, 0.0), 6) as min, round(quantile_cont(value, 0.25), 6) as q1,
+       round(quantile_cont(value, 0.5), 6) as median, round(quantile_cont(value, 0.75), 6) as q3,
+       round(quantile_cont(value, 1.0), 6) as max
+from sides group by side""",
+)
+def box_summary(spark, sf_dir):
+    """Box-plot numbers of both sides (exact quantiles without collecting a side)."""
+    out = monitor.box_summary(_event_sides(spark, sf_dir))
+    return out.withColumns({c: F.round(c, 6) for c in ("min", "q1", "median", "q3", "max")})
+
+
+# ---------------------------------------------------------------- data quality
+
+QUALITY_SRC_SQL = f"""{q.SALES_LINES}, {q.sales_dirty(False)},
+qsrc as (select {q.monday('fecha')} as week_start, fecha, n_factura, producto, familia, cantidad, base_imponible, tipo_iva, total
+         from sales_dirty)"""
+QUALITY_COLS = ("fecha", "n_factura", "producto", "familia", "cantidad", "base_imponible", "tipo_iva", "total")
+NULLS_SQL = " + ".join(f"cast({c} is null as integer)" for c in QUALITY_COLS)
+
+
+def _quality_src(spark, sf_dir):
+    d = views.sales_dirty(spark, sf_dir)
+    return d.select(cal.week_monday("fecha").alias("week_start"), *QUALITY_COLS)
+
+
+@query(
+    "volume_quality_trend",
+    f"""with {QUALITY_SRC_SQL}
+select * from (
+  select week_start, cast(count(*) as bigint) as volume,
+         1.0 - cast(sum({NULLS_SQL}) as bigint) / cast(count(*) * {len(QUALITY_COLS)} as double) as quality_score
+  from qsrc group by week_start order by week_start desc limit 30)""",
+)
+def volume_quality_trend(spark, sf_dir):
+    """Volume and quality of the last 30 weeks."""
+    return monitor.volume_quality_trend(_quality_src(spark, sf_dir), last=30)
+
+
+@query(
+    "quality_score",
+    f"""with {QUALITY_SRC_SQL}
+select cast(count(*) as bigint) as n_rows, cast(sum({NULLS_SQL}) as bigint) as null_cells,
+       cast(count(*) * {len(QUALITY_COLS)} as bigint) as total_cells,
+       least(greatest(1.0 - cast(sum({NULLS_SQL}) as double) / cast(count(*) * {len(QUALITY_COLS)} as double), 0.8), 1.0) as quality_score,
+       max(week_start) as last_week
+from qsrc""",
+)
+def quality_score(spark, sf_dir):
+    """Clamped table quality score, row count and last week."""
+    return monitor.quality_score(_quality_src(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- run log
+
+RUN_LOG_SQL = (
+    q_features.BASELINE_SQL
+    + f""",
+pos as (select familia, week_start, row_number() over (partition by familia order by week_start) - 1 as p,
+               count(*) over (partition by familia) as n from bfeat),
+folds as (select familia, week_start, fold from
+            (select *, floor(n / 6) as ts, n - (5 - fold) * floor(n / 6) as te from pos, (select unnest(range(0, 5)) as fold))
+          where ts > 0 and p >= te and p < te + ts),
+runs0 as (select b.familia, b.model, f.fold, min(b.week_start) as created, cast(count(*) as bigint) as n,
+                 round(avg(abs(b.actual - b.predicted)), 4) as mae
+          from baseline b join folds f on b.familia = f.familia and b.week_start = f.week_start group by all),
+run_log as (select concat_ws('/', model, familia, cast(fold as varchar)) as run_name, familia, model,
+                   cast(fold as integer) as fold, created, n, mae from runs0)"""
+)
+
+
+def _run_log(spark, sf_dir):
+    ft = features.feature_table(views.weekly(spark, sf_dir, 7), evaluate.BASELINE_LAGS, horizon=1)
+    preds = evaluate.baseline_forecasts(ft)
+    folds = split.expanding_folds(ft.select("familia", "week_start"), 5)
+    return evaluate.fold_run_log(preds, folds)
+
+
+@query("run_log", f"with {RUN_LOG_SQL} select * from run_log")
+def run_log(spark, sf_dir):
+    """Run log of an expanding-window backtest (family × baseline × fold)."""
+    return _run_log(spark, sf_dir)
+
+
+@query(
+    "run_trend",
+    f"with {RUN_LOG_SQL} select * from (select * from run_log order by created desc, run_name desc limit 30)",
+)
+def run_trend(spark, sf_dir):
+    """The 30 most recent runs."""
+    return monitor.run_trend(_run_log(spark, sf_dir), last=30)
+
+
+@query(
+    "latest_run",
+    f"with {RUN_LOG_SQL} select * from run_log order by created desc, run_name desc limit 1",
+)
+def latest_run(spark, sf_dir):
+    """Metrics of the newest run."""
+    return monitor.latest_run(_run_log(spark, sf_dir))
+
+
+@query("best_run", f"with {RUN_LOG_SQL} select * from run_log order by mae, run_name limit 1")
+def best_run(spark, sf_dir):
+    """Lowest-MAE run."""
+    return monitor.best_run(_run_log(spark, sf_dir))
