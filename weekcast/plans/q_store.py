@@ -1,3 +1,188 @@
-"""Registered queries."""
+"""Queries: sinks, snapshots, keyed upserts, views and reconciliation."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..operators import features
+from ..sources import store
+from . import sqltext as q
+from . import views
+from .catalog import query
+
+WEEKLY = f"{q.SALES_LINES}, {q.weekly(7)}"
+STORE_SQL = f"""{WEEKLY},
+store_old as (select * from weekly where week_start < date '2001-01-01'),
+store_new as (select year, week, familia, base_imponible * 1.1 as base_imponible, is_summer_peak, is_easter,
+                     dias_semana, week_start from weekly where week_start >= date '2000-12-01')"""
+KEYS = ("familia", "week_start")
+WEEKLY_SCHEMA = T.StructType(
+    [
+        T.StructField("year", T.LongType()),
+        T.StructField("week", T.LongType()),
+        T.StructField("familia", T.StringType()),
+        T.StructField("base_imponible", T.DoubleType()),
+        T.StructField("is_summer_peak", T.IntegerType()),
+        T.StructField("is_easter", T.IntegerType()),
+        T.StructField("dias_semana", T.LongType()),
+        T.StructField("week_start", T.DateType()),
+    ]
+)
+
+
+def _weekly(spark, sf_dir):
+    return views.weekly(spark, sf_dir, 7)
+
+
+def _stores(spark, sf_dir):
+    w = _weekly(spark, sf_dir)
+    old = w.where(F.col("week_start") < F.lit("2001-01-01").cast("date"))
+    new = w.where(F.col("week_start") >= F.lit("2000-12-01").cast("date")).withColumn(
+        "base_imponible", F.col("base_imponible") * F.lit(1.1)
+    )
+    return old, new
+
+
+@query("dated_sink", f"with {WEEKLY} select *, date '2001-11-05' as run_date from weekly")
+def dated_sink(spark, sf_dir):
+    """Weekly table written under run_date=/familia= partitions and read back."""
+    path = store.new_location(spark, "weekly")
+    store.write_dated(_weekly(spark, sf_dir), path, "2001-11-05")
+    return spark.read.parquet(path)
+
+
+@query("latest_snapshot", f"with {WEEKLY} select *, date '2001-11-12' as run_date from weekly")
+def latest_snapshot(spark, sf_dir):
+    """Two dated snapshots; the reader picks the newest one."""
+    path = store.new_location(spark, "snapshots")
+    store.write_dated(views.weekly(spark, sf_dir, 1), path, "2001-11-05")
+    store.write_dated(_weekly(spark, sf_dir), path, "2001-11-12")
+    return store.read_latest(spark, path)
+
+
+@query(
+    "upsert_latest",
+    f"""with {STORE_SQL}
+select * from store_new
+union all
+select * from store_old o where not exists (select 1 from store_new n where n.familia = o.familia and n.week_start = o.week_start)""",
+)
+def upsert_latest(spark, sf_dir):
+    """Keyed insert of an overlapping batch; incoming rows win."""
+    old, new = _stores(spark, sf_dir)
+    return store.upsert_latest(old, new, KEYS)
+
+
+@query(
+    "incremental_new_weeks",
+    f"""with {STORE_SQL}
+select * from store_new n where not exists (select 1 from store_old o where o.familia = n.familia and o.week_start = n.week_start)""",
+)
+def incremental_new_weeks(spark, sf_dir):
+    """Only the weeks not stored yet."""
+    old, new = _stores(spark, sf_dir)
+    return store.new_rows(new, old, KEYS)
+
+
+@query(
+    "store_profile",
+    f"""with {WEEKLY}
+select familia, cast(count(*) as bigint) as n_rows, min(week_start) as first_week, max(week_start) as last_week
+from weekly group by familia""",
+)
+def store_profile(spark, sf_dir):
+    """Rows and week range of the stored weekly group."""
+    return store.profile(_weekly(spark, sf_dir))
+
+
+FEATURE_VIEW_COLS = ("familia", "week_start", "base_imponible_lag1", "base_imponible_lag52", "is_easter", "target")
+
+
+@query(
+    "feature_view",
+    f"with {WEEKLY}, {q.features((1, 2, 3, 52), 1)} select {', '.join(FEATURE_VIEW_COLS)} from features",
+)
+def feature_view(spark, sf_dir):
+    """A named view = saved column subset of the feature table."""
+    ft = features.feature_table(_weekly(spark, sf_dir), (1, 2, 3, 52), 1)
+    return store.register_view(ft, "weekcast_feature_view", FEATURE_VIEW_COLS)
+
+
+@query(
+    "batch_read",
+    f"""with {WEEKLY}, {q.features((1, 2, 3, 52), 1)}
+select week_start, familia, base_imponible_lag1, target from features
+where week_start between date '1999-01-01' and date '2000-12-31' order by week_start""",
+)
+def batch_read(spark, sf_dir):
+    """Ordered batch read of a view between two dates with a feature list."""
+    ft = features.feature_table(_weekly(spark, sf_dir), (1, 2, 3, 52), 1)
+    store.register_view(ft, "weekcast_features_all")
+    return store.batch_read(
+        spark, "weekcast_features_all", "1999-01-01", "2000-12-31", ["week_start", "familia", "base_imponible_lag1", "target"]
+    )
+
+
+@query(
+    "chart_data",
+    f"""with {WEEKLY},
+preds as (select familia, cast(max(week_start) + 7 as date) as week_start,
+                 arg_max(base_imponible, week_start) as predicted_base_imponible from weekly group by familia)
+select familia, strftime(week_start, '%Y-%m-%d') as date, base_imponible as value, 'actual' as series from weekly
+union all
+select familia, strftime(week_start, '%Y-%m-%d') as date, predicted_base_imponible as value, 'predicted' as series from preds""",
+)
+def chart_data(spark, sf_dir):
+    """History plus the next-week (naive lag-1) prediction as chart records."""
+    w = _weekly(spark, sf_dir)
+    nxt = features.next_week_features(w, (1,)).select(
+        "familia", "week_start", F.col("base_imponible_lag1").alias("predicted_base_imponible")
+    )
+    return store.chart_data(w, nxt)
+
+
+@query(
+    "enforce_schema",
+    f"""with {WEEKLY}
+select cast(year as bigint) as year, cast(week as bigint) as week, familia, cast(base_imponible as double) as base_imponible,
+       cast(is_summer_peak as integer) as is_summer_peak, cast(is_easter as integer) as is_easter,
+       cast(dias_semana as bigint) as dias_semana, week_start from weekly""",
+)
+def enforce_schema(spark, sf_dir):
+    """Required-column check and cast to the stored schema."""
+    return store.enforce_schema(_weekly(spark, sf_dir), WEEKLY_SCHEMA)
+
+
+@query("csv_roundtrip", f"with {WEEKLY} select * from weekly")
+def csv_roundtrip(spark, sf_dir):
+    """CSV sink with header, read back with the schema."""
+    path = store.new_location(spark, "csv")
+    w = store.enforce_schema(_weekly(spark, sf_dir), WEEKLY_SCHEMA)
+    store.write_csv(w, path)
+    return store.read_csv(spark, path, WEEKLY_SCHEMA)
+
+
+@query("table_append", f"with {WEEKLY} select * from weekly union all select * from weekly")
+def table_append(spark, sf_dir):
+    """Replace, then append the same batch: every row twice."""
+    path = store.new_location(spark, "table")
+    w = _weekly(spark, sf_dir)
+    store.write_table(w, path, "overwrite")
+    store.write_table(w, path, "append")
+    return spark.read.parquet(path)
+
+
+@query(
+    "week_reconcile",
+    f"""with {q.SALES_LINES}, {q.weekly(7)}, {q.weekly(1, name="weekly_all")},
+e as (select distinct familia, week_start from weekly_all),
+p as (select distinct familia, week_start from weekly)
+select coalesce(e.familia, p.familia) as familia, coalesce(e.week_start, p.week_start) as week_start,
+       case when p.familia is null then 'missing_in_processed' else 'unexpected_in_processed' end as status
+from e full outer join p on e.familia = p.familia and e.week_start = p.week_start
+where e.familia is null or p.familia is null""",
+)
+def week_reconcile(spark, sf_dir):
+    """Weeks with sales that the complete-week table dropped (and the reverse)."""
+    return store.reconcile(views.weekly(spark, sf_dir, 1), _weekly(spark, sf_dir), KEYS)
