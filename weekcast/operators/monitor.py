@@ -255,13 +255,10 @@ def run_trend(runs: DataFrame, created_col: str = "created", name_col: str = "ru
 
 
 def latest_run(runs: DataFrame, created_col: str = "created", name_col: str = "run_name") -> DataFrame:
-    """Metrics of the newest run (``max_by`` over a (created, name) key)."""
-    cols = [c for c in runs.columns]
-    key = F.struct(F.col(created_col), F.col(name_col))
-    return runs.agg(F.max_by(F.struct(*cols), key).alias("_r")).select("_r.*")
+    """The newest run (top-1 by (created, name)); no row for an empty log."""
+    return runs.orderBy(F.desc(created_col), F.desc(name_col)).limit(1)
 
 
 def best_run(runs: DataFrame, metric: str = "mae", name_col: str = "run_name") -> DataFrame:
-    """The run with the lowest metric (ties by name), as ``min_by``."""
-    key = F.struct(F.col(metric), F.col(name_col))
-    return runs.agg(F.min_by(F.struct(*runs.columns), key).alias("_r")).select("_r.*")
+    """The run with the lowest metric, ties by name (top-1); no row for an empty log."""
+    return runs.orderBy(F.asc(metric), F.asc(name_col)).limit(1)

@@ -77,7 +77,7 @@ def weekly_prediction_job(spark, sf_dir):
     )
     path = store.new_location(spark, "predictions")
     store.write_dated(preds, path, "2001-11-05")
-    stored = spark.read.parquet(path).drop("run_date")
+    stored = store.read_dated(spark, path, store.dated_schema(preds)).drop("run_date")
     return store.upsert_latest(stored, preds, ["familia", "week_start"])
 
 

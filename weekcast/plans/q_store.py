@@ -48,17 +48,19 @@ def _stores(spark, sf_dir):
 def dated_sink(spark, sf_dir):
     """Weekly table written under run_date=/familia= partitions and read back."""
     path = store.new_location(spark, "weekly")
-    store.write_dated(_weekly(spark, sf_dir), path, "2001-11-05")
-    return spark.read.parquet(path)
+    w = _weekly(spark, sf_dir)
+    store.write_dated(w, path, "2001-11-05")
+    return store.read_dated(spark, path, store.dated_schema(w))
 
 
 @query("latest_snapshot", f"with {WEEKLY} select *, date '2001-11-12' as run_date from weekly")
 def latest_snapshot(spark, sf_dir):
-    """Two dated snapshots; the reader picks the newest one."""
+    """An older snapshot (amounts ×0.9) and a newer one; the reader picks the newest."""
     path = store.new_location(spark, "snapshots")
-    store.write_dated(views.weekly(spark, sf_dir, 1), path, "2001-11-05")
-    store.write_dated(_weekly(spark, sf_dir), path, "2001-11-12")
-    return store.read_latest(spark, path)
+    w = _weekly(spark, sf_dir)
+    store.write_dated(w.withColumn("base_imponible", F.col("base_imponible") * 0.9), path, "2001-11-05")
+    store.write_dated(w, path, "2001-11-12")
+    return store.read_latest(spark, path, store.dated_schema(w))
 
 
 @query(
@@ -170,7 +172,7 @@ def table_append(spark, sf_dir):
     w = _weekly(spark, sf_dir)
     store.write_table(w, path, "overwrite")
     store.write_table(w, path, "append")
-    return spark.read.parquet(path)
+    return spark.read.schema(w.schema).parquet(path)
 
 
 @query(

@@ -11,6 +11,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 from ..session import shared_path
@@ -35,9 +36,19 @@ def write_dated(df: DataFrame, path: str, run_date, partition_cols=("familia",),
     )
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
+def dated_schema(df: DataFrame) -> StructType:
+    """Schema of a dated table written from ``df`` (``run_date`` added)."""
+    return StructType([*df.schema.fields, T.StructField("run_date", T.DateType())])
+
+
+def read_dated(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """Read a dated table; an explicit schema also reads a table written from empty batches."""
+    return (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
+
+
+def read_latest(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
     """The newest snapshot (``run_date`` = max), read with partition pruning on the date."""
-    df = spark.read.parquet(path)
+    df = read_dated(spark, path, schema)
     newest = df.agg(F.max("run_date")).scalar()
     return df.where(F.col("run_date") == newest)
 
