@@ -157,9 +157,12 @@ def grid_search(folds: DataFrame, grid: dict = REFERENCE_GRID, features=None, ki
     return summary.join(labels, "combo").orderBy("mean_mae", "combo")
 
 
-def random_search(train: DataFrame, n_trials: int = 30, features=None, seed: int = SEED, valid_share: float = 0.2) -> DataFrame:
+def random_search(
+    train: DataFrame, n_trials: int = 30, features=None, seed: int = SEED, valid_share: float = 0.2, ranges=None
+) -> DataFrame:
     """M5: seeded random parameter draws, scored on the last 20 % of each family's train weeks."""
     rng = random.Random(seed)
+    ranges = ranges or RANDOM_RANGES
     w = Window.partitionBy("familia").orderBy("week_start")
     pos = F.row_number().over(w) - 1
     n = F.count(F.lit(1)).over(Window.partitionBy("familia"))
@@ -169,11 +172,11 @@ def random_search(train: DataFrame, n_trials: int = 30, features=None, seed: int
     trials = []
     for t in range(n_trials):
         p = {
-            "maxIter": rng.randint(*RANDOM_RANGES["maxIter"]),
-            "maxDepth": rng.randint(*RANDOM_RANGES["maxDepth"]),
-            "stepSize": rng.uniform(*RANDOM_RANGES["stepSize"]),
-            "subsamplingRate": rng.uniform(*RANDOM_RANGES["subsamplingRate"]),
-            "featureSubsetStrategy": f"{rng.uniform(*RANDOM_RANGES['featureSubsetStrategy']):.4f}",
+            "maxIter": rng.randint(*ranges["maxIter"]),
+            "maxDepth": rng.randint(*ranges["maxDepth"]),
+            "stepSize": rng.uniform(*ranges["stepSize"]),
+            "subsamplingRate": rng.uniform(*ranges["subsamplingRate"]),
+            "featureSubsetStrategy": f"{rng.uniform(*ranges['featureSubsetStrategy']):.4f}",
         }
         model = fit(inner_train, regressor("gbt", **p), features)
         mae = evaluate.error_metrics(score(model, valid), []).first()["mae"]
