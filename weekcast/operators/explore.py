@@ -110,24 +110,48 @@ def nulls_by_group(df: DataFrame, keys, cols) -> DataFrame:
 
 
 def column_profile(df: DataFrame) -> DataFrame:
-    """Per column — distinct and null counts, text min/max, numeric min/max/mean (long format)."""
-    rows = []
-    for c, t in df.dtypes:
+    """Per column — distinct and null counts, text min/max, numeric min/max/mean (long format).
+
+    Distinct counts come from one long (column, value) table grouped by
+    column — a single hash-based distinct aggregation instead of one Expand
+    copy of every row per column.  The other statistics are one plain global
+    aggregate, unpivoted with ``stack``; the two 1-row-per-column results
+    are joined on the column name.
+    """
+    names = [c for c, _ in df.dtypes]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in names])
+    distinct = (
+        df.select(F.explode(pairs).alias("_p"))
+        .select("_p.column_name", "_p.v")
+        .groupBy("column_name")
+        .agg(F.count_distinct("v").cast("bigint").alias("n_distinct"))
+    )
+    aggs, rows = [], []
+    for i, (c, t) in enumerate(df.dtypes):
         numeric = t.startswith(("decimal", "double", "float", "int", "bigint", "smallint"))
         textual = t in ("string", "date")
-        rows.append(
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.count_distinct(F.col(c)).cast("bigint").alias("n_distinct"),
-                F.count_if(F.col(c).isNull()).cast("bigint").alias("n_null"),
-                (F.min(F.col(c)).cast("string") if textual else F.lit(None).cast("string")).alias("min_text"),
-                (F.max(F.col(c)).cast("string") if textual else F.lit(None).cast("string")).alias("max_text"),
-                (F.min(F.col(c)).cast("double") if numeric else F.lit(None).cast("double")).alias("min_num"),
-                (F.max(F.col(c)).cast("double") if numeric else F.lit(None).cast("double")).alias("max_num"),
-                (num.ratio(F.sum(F.col(c)), F.count(F.col(c))) if numeric else F.lit(None).cast("double")).alias("mean_num"),
-            )
-        )
-    return df.agg(F.array(*rows).alias("_p")).select(F.explode("_p").alias("_r")).select("_r.*")
+        col = F.col(c)
+        aggs.append(F.count_if(col.isNull()).cast("bigint").alias(f"n{i}"))
+        if textual:
+            aggs += [F.min(col).cast("string").alias(f"lt{i}"), F.max(col).cast("string").alias(f"ht{i}")]
+        if numeric:
+            aggs += [
+                F.min(col).cast("double").alias(f"ln{i}"),
+                F.max(col).cast("double").alias(f"hn{i}"),
+                num.ratio(F.sum(col), F.count(col)).alias(f"m{i}"),
+            ]
+        text = (f"lt{i}", f"ht{i}") if textual else ("cast(null as string)", "cast(null as string)")
+        nums = (f"ln{i}", f"hn{i}", f"m{i}") if numeric else ("cast(null as double)",) * 3
+        rows.append(f"'{c}', n{i}, {text[0]}, {text[1]}, {nums[0]}, {nums[1]}, {nums[2]}")
+    stats = df.agg(*aggs).select(
+        F.expr(f"stack({len(rows)}, {', '.join(rows)}) as (column_name, n_null, min_text, max_text, min_num, max_num, mean_num)")
+    )
+    out = stats.join(distinct, "column_name", "left")
+    return out.select(
+        "column_name",
+        F.coalesce("n_distinct", F.lit(0).cast("bigint")).alias("n_distinct"),
+        "n_null", "min_text", "max_text", "min_num", "max_num", "mean_num",
+    )
 
 
 def series_stats(series: DataFrame, value_col: str = "base_imponible", family_col: str = "familia", order_col: str = "week_start") -> DataFrame:

@@ -300,3 +300,15 @@ def latest_run(spark, sf_dir):
 def best_run(spark, sf_dir):
     """Lowest-MAE run."""
     return monitor.best_run(_run_log(spark, sf_dir))
+
+
+@query("run_log_append", f"with {RUN_LOG_SQL} select * from run_log")
+def run_log_append(spark, sf_dir):
+    """Runs appended to a run-log table in two loads; reading it back gives every run once."""
+    from ..sources import store
+
+    runs = _run_log(spark, sf_dir)
+    path = store.new_location(spark, "runs")
+    store.write_table(runs.where(F.col("fold") < 3), path, "overwrite")
+    store.write_table(runs.where(F.col("fold") >= 3), path, "append")
+    return spark.read.schema(runs.schema).parquet(path)

@@ -188,3 +188,45 @@ where e.familia is null or p.familia is null""",
 def week_reconcile(spark, sf_dir):
     """Weeks with sales that the complete-week table dropped (and the reverse)."""
     return store.reconcile(views.weekly(spark, sf_dir, 1), _weekly(spark, sf_dir), KEYS)
+
+
+@query(
+    "typed_parquet_scan",
+    """select l_orderkey, l_linenumber, cast(l_shipdate as date) as l_shipdate from lineitem
+where l_shipdate >= timestamp '2001-01-01'""",
+)
+def typed_parquet_scan(spark, sf_dir):
+    """Parquet scan with its date column coerced to DATE (filter still pushed to the scan)."""
+    from ..sources import tables
+
+    df = tables.read_typed_parquet(spark, f"{sf_dir.rstrip('/')}/lineitem.parquet", date_cols=("l_shipdate",))
+    return df.where(F.col("l_shipdate") >= F.lit("2001-01-01").cast("date")).select("l_orderkey", "l_linenumber", "l_shipdate")
+
+
+@query(
+    "xy_sink",
+    f"""with {WEEKLY}, {q.features((1, 2, 3, 52), 1)}
+select x.*, y.target from
+  (select familia, week_start, base_imponible_lag1, base_imponible_lag2, base_imponible_lag3, base_imponible_lag52,
+          is_summer_peak, is_easter from features) x
+  join (select familia, week_start, target from features) y using (familia, week_start)""",
+)
+def xy_sink(spark, sf_dir):
+    """The feature table written once as X, y and full datasets (dated); X and y re-joined on the key."""
+    ft = features.feature_table(_weekly(spark, sf_dir), (1, 2, 3, 52), 1)
+    keys = ["familia", "week_start"]
+    x_cols = [c for c in ft.columns if c not in ("target", "base_imponible")]
+    base = store.new_location(spark, "xy")
+    parts = {"X": ft.select(*x_cols), "y": ft.select(*keys, "target"), "full": ft}
+    for name, part in parts.items():
+        store.write_dated(part, f"{base}/{name}", "2001-11-05")
+    x = store.read_dated(spark, f"{base}/X", store.dated_schema(parts["X"])).drop("run_date")
+    y = store.read_dated(spark, f"{base}/y", store.dated_schema(parts["y"])).drop("run_date")
+    return x.join(y, keys)
+
+
+@query("sample_row")
+def sample_row(spark, sf_dir):
+    """One reproducible sample row of the feature table (hash order; the limit is the feature)."""
+    ft = features.feature_table(_weekly(spark, sf_dir), (1, 2, 3, 52), 1)
+    return ft.orderBy(F.xxhash64("familia", "week_start"), "familia", "week_start").limit(1)
