@@ -64,7 +64,7 @@ select {gb}sum((a - e) * ln(a / e)) as {name} from f2 {"group by " + g if g else
 
 def _pvalue_sql(d, n1, n2, terms=monitor.KS_TERMS):
     en = f"((cast({n1} as double) * cast({n2} as double)) / cast({n1} + {n2} as double))"
-    z = f"(sqrt({en}) * {d})"
+    z = f"(sqrt({en}) * {d})"  # same value as the Spark column _z
     total = "0.0"
     for j in range(1, terms + 1):
         sign = "1.0" if j % 2 else "-1.0"
