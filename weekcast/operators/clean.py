@@ -91,6 +91,29 @@ def homogenize(
     return allow_list(out, families, family_col)
 
 
+def clean_loader(
+    df: DataFrame,
+    start=None,
+    end=None,
+    remap=REFERENCE_REMAP,
+    fill_cols=("base_imponible", "total"),
+    date_col: str = "fecha",
+    family_col: str = "familia",
+) -> DataFrame:
+    """Range filter → label remap → zero-fill amounts → season flag; ``is_easter`` = 0 when absent.
+
+    (The reference's loader leaves Holy-Week marking to the weekly transform.)
+    """
+    out = filter_date_range(df.withColumn(date_col, cal.as_date(date_col)), start, end, date_col)
+    out = remap_values(out, remap, family_col)
+    out = fill_nulls(out, {c: 0 for c in fill_cols})
+    if "is_summer_peak" not in out.columns:
+        out = out.withColumn("is_summer_peak", cal.is_summer_peak(date_col))
+    if "is_easter" not in out.columns:
+        out = out.withColumn("is_easter", F.lit(0))
+    return out
+
+
 def trim_complete_weeks(df: DataFrame, date_col: str = "fecha") -> DataFrame:
     """Keep rows up to the last Sunday on or before the data's last date."""
     until = df.agg(cal.last_complete_sunday(F.max(date_col))).scalar()  # scalar subquery

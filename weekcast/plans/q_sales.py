@@ -486,3 +486,36 @@ def normalize_date(spark, sf_dir):
         dates.normalize_date(F.col("ts").cast("string")).alias("from_ts"),
         dates.normalize_date(F.col("props"), default="1900-01-01").alias("from_props"),
     )
+
+
+@query(
+    "clean_loader",
+    f"""with {q.SALES_LINES}, {q.sales_dirty(False)}
+select fecha, n_factura, case when familia = 'ECONOM' then 'ECONOMY' else familia end as familia,
+       cast(coalesce(base_imponible, 0) as double) as base_imponible, cast(coalesce(total, 0) as double) as total,
+       {q.is_summer('fecha')} as is_summer_peak, 0 as is_easter
+from sales_dirty where fecha between date '1996-01-01' and date '2000-12-31'""",
+)
+def clean_loader(spark, sf_dir):
+    """The cleaning loader over a date range (remap, zero-fill, season flag)."""
+    df = clean.clean_loader(views.sales_dirty(spark, sf_dir), "1996-01-01", "2000-12-31", FIXTURE_REMAP)
+    df = df.select("fecha", "n_factura", "familia", "base_imponible", "total", "is_summer_peak", "is_easter")
+    return _money_double(df)
+
+
+@query(
+    "parse_dates",
+    """select event_id, cast(try_cast(cast(ts as varchar) as timestamp) as date) as lenient,
+       cast(try_strptime(substr(cast(ts as varchar), 1, 10), '%Y-%m-%d') as date) as with_format,
+       cast(try_strptime(props, '%Y-%m-%d') as date) as junk
+from events""",
+)
+def parse_dates(spark, sf_dir):
+    """lenient text → DATE (NULL on failure), with and without an explicit format."""
+    ev = tables.table(spark, sf_dir, "events")
+    return ev.select(
+        "event_id",
+        dates.parse_date(F.col("ts").cast("string")).alias("lenient"),
+        dates.parse_date(F.substring(F.col("ts").cast("string"), 1, 10), "yyyy-MM-dd").alias("with_format"),
+        dates.parse_date(F.col("props"), "yyyy-MM-dd").alias("junk"),
+    )
