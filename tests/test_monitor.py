@@ -72,3 +72,15 @@ def test_alert_levels(spark):
     df = spark.createDataFrame([(0.3, 0.5), (0.05, 0.03), (0.01, 0.5)], "psi double, p double")
     levels = [r.a for r in df.select(monitor.alert_level(F.col("psi"), F.col("p")).alias("a")).collect()]
     assert levels == ["high", "medium", "low"]
+
+
+def test_raw_iqr_equals_percentile(spark):
+    from weekcast.operators import explore
+    from weekcast.plans import views
+
+    from conftest import SF_CHECK
+
+    daily = views.daily(spark, SF_CHECK)
+    a = {r.familia: (round(r.q1, 6), round(r.q3, 6)) for r in explore.iqr_bounds(daily).collect()}
+    b = {r.familia: (round(r.q1, 6), round(r.q3, 6)) for r in explore.iqr_bounds(daily, raw=True).collect()}
+    assert a == b

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numeric as num
+from . import positional
 
 CORR_VARS = ("base_imponible", "is_summer_peak", "is_easter", "is_weekend", "day_of_week", "month")
 DAILY_FLAGS = ("is_weekend", "is_summer_peak", "is_easter", "day_of_week")
@@ -60,11 +61,25 @@ def flag_uplift(daily: DataFrame, flags=("is_summer_peak", "is_easter"), value_c
     return out.withColumn("uplift_pct", F.try_divide(F.col("mean_on") - F.col("mean_off"), F.col("mean_off")) * 100)
 
 
-def iqr_bounds(series: DataFrame, value_col: str = "base_imponible", family_col: str = "familia", k: float = 1.5) -> DataFrame:
-    """A10: per family Q1, Q3 (linear interpolation), IQR and the k·IQR fences."""
-    q = F.percentile(F.col(value_col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
-    out = series.groupBy(family_col).agg(q.alias("_q"))
-    out = out.select(family_col, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
+def iqr_bounds(
+    series: DataFrame, value_col: str = "base_imponible", family_col: str = "familia", k: float = 1.5, raw: bool = False
+) -> DataFrame:
+    """A10: per family Q1, Q3 (linear interpolation), IQR and the k·IQR fences.
+
+    ``percentile`` holds a group's values in one task, which is right for an
+    aggregated series (days × families).  ``raw=True`` is for unbounded
+    inputs: the same exact quantiles from ranked per-value counts.
+    """
+    if raw:
+        qs = positional.exact_quantiles(series, value_col, (0.25, 0.75), [family_col])
+        out = qs.groupBy(family_col).agg(
+            F.max(F.when(F.col("q") == 0.25, F.col("value"))).alias("q1"),
+            F.max(F.when(F.col("q") == 0.75, F.col("value"))).alias("q3"),
+        )
+    else:
+        q = F.percentile(F.col(value_col).cast("double"), F.array(F.lit(0.25), F.lit(0.75)))
+        out = series.groupBy(family_col).agg(q.alias("_q"))
+        out = out.select(family_col, F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"))
     out = out.withColumn("iqr", F.col("q3") - F.col("q1"))
     return out.withColumns(
         {"lower_bound": F.col("q1") - F.lit(k) * F.col("iqr"), "upper_bound": F.col("q3") + F.lit(k) * F.col("iqr")}
@@ -109,14 +124,15 @@ def nulls_by_group(df: DataFrame, keys, cols) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"null_{c}") for c in cols])
 
 
-def column_profile(df: DataFrame) -> DataFrame:
+def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column — distinct and null counts, text min/max, numeric min/max/mean (long format).
 
     Distinct counts come from one long (column, value) table grouped by
     column — a single hash-based distinct aggregation instead of one Expand
     copy of every row per column.  The other statistics are one plain global
     aggregate, unpivoted with ``stack``; the two 1-row-per-column results
-    are joined on the column name.
+    are joined on the column name.  ``exact=False`` swaps in HyperLogLog++
+    distinct counts for very wide, high-cardinality tables.
     """
     names = [c for c, _ in df.dtypes]
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in names])
@@ -124,7 +140,7 @@ def column_profile(df: DataFrame) -> DataFrame:
         df.select(F.explode(pairs).alias("_p"))
         .select("_p.column_name", "_p.v")
         .groupBy("column_name")
-        .agg(F.count_distinct("v").cast("bigint").alias("n_distinct"))
+        .agg((F.count_distinct("v") if exact else F.approx_count_distinct("v")).cast("bigint").alias("n_distinct"))
     )
     aggs, rows = [], []
     for i, (c, t) in enumerate(df.dtypes):
