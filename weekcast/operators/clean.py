@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
 from ..functions import numeric as num
+from .joins import join_small
 
 # Fixed values of the reference's homogenisation step (point-of-sale families).
 REFERENCE_FAMILIES = (
@@ -274,7 +275,7 @@ def impute_family_month(
         fills[f"_f_{c}"] = num.from_units(F.coalesce(step1, year_units), sc, 38).cast(types[c])
     stats = stats.select(family_col, *[v.alias(k) for k, v in fills.items()])
 
-    joined = df.join(stats, family_col, "left")
+    joined = join_small(df, stats, family_col, "left")  # one row per family
     filled = [in_target & F.col(c).isNull() & F.col(f"_f_{c}").isNotNull() for c in cols]
     any_imputed = filled[0]
     for f in filled[1:]:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as num
 from . import positional
+from .joins import join_small
 
 CORR_VARS = ("base_imponible", "is_summer_peak", "is_easter", "is_weekend", "day_of_week", "month")
 DAILY_FLAGS = ("is_weekend", "is_summer_peak", "is_easter", "day_of_week")
@@ -89,7 +90,7 @@ def iqr_bounds(
 def flag_outliers(series: DataFrame, bounds: DataFrame, value_col: str = "base_imponible", family_col: str = "familia") -> DataFrame:
     """Rows of the series outside their family's fences (bounds: one row per family)."""
     v = F.col(value_col).cast("double")
-    return series.join(bounds, family_col).where((v < F.col("lower_bound")) | (v > F.col("upper_bound")))
+    return join_small(series, bounds, family_col).where((v < F.col("lower_bound")) | (v > F.col("upper_bound")))
 
 
 def iqr_outliers(series: DataFrame, value_col: str = "base_imponible", family_col: str = "familia") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
+from .joins import join_small
 
 DEFAULT_LAGS = (1, 2, 3, 52)
 
@@ -213,7 +214,7 @@ def asof_weekly(
     expanded = valid.withColumn("_monday", F.explode(mondays)).drop("_until")
     # dates after a family's last stored week take that last week
     last = weekly_features.groupBy(family_col).agg(F.max(week_col).alias("_last"))
-    keyed = entities.join(last, family_col, "left").withColumn(
+    keyed = join_small(entities, last, family_col, "left").withColumn(
         "_monday", F.least(cal.week_monday(entity_date_col), F.col("_last"))
     ).drop("_last")
     feat_cols = [c for c in weekly_features.columns if c != family_col]

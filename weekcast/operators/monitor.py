@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import numeric as num
 from . import positional
+from .joins import join_small
 
 # Fixed values of the drift rules.
 PSI_BUCKETS = 10
@@ -86,7 +87,7 @@ def psi(sides: DataFrame, group_cols=(), buckets: int = PSI_BUCKETS, mode: str =
             "_hi": F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi")),
         }
     )
-    keyed = sides.join(stats, [*group_cols, "side"])
+    keyed = join_small(sides, stats, [*group_cols, "side"])  # two rows per group
     raw = F.floor((F.col("value") - F.col("_lo")) * (F.lit(float(buckets)) / (F.col("_hi") - F.col("_lo"))))
     bucket = F.least(F.greatest(raw, F.lit(0)), F.lit(buckets - 1)).cast("int")
     counts = keyed.groupBy(*group_cols, bucket.alias("bucket")).agg(
@@ -141,7 +142,7 @@ def ks(sides: DataFrame, group_cols=()) -> DataFrame:
     cum = positional.running_sums(per_value, group_cols, "value", ["cb", "cc"])
     sizes = per_value.groupBy(*group_cols).agg(F.sum("cb").alias("_nb"), F.sum("cc").alias("_nc"))
     gap = F.abs(F.col("cum_cb") / F.col("_nb") - F.col("cum_cc") / F.col("_nc"))
-    out = cum.join(sizes, group_cols).groupBy(*group_cols).agg(
+    out = join_small(cum, sizes, group_cols).groupBy(*group_cols).agg(
         F.max(gap).alias("ks_statistic"), F.max("_nb").alias("_nb"), F.max("_nc").alias("_nc")
     )
     out = with_ks_z(out, F.col("ks_statistic"), F.col("_nb"), F.col("_nc"))
@@ -197,7 +198,7 @@ def histogram_compare(sides: DataFrame, bins: int = 30, group_cols=()) -> DataFr
     rng = rng.withColumns(
         {"_lo": F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")), "_hi": F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi"))}
     )
-    keyed = sides.join(rng, group_cols)
+    keyed = join_small(sides, rng, group_cols)
     raw = F.floor((F.col("value") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))))
     b = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = keyed.groupBy(*group_cols, b.alias("bin")).agg(

@@ -21,6 +21,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_small
+
 SLICE_ACCURACY = 10000
 
 
@@ -92,7 +94,7 @@ def running_sums(df: DataFrame, group_cols, order_col: str, sum_cols, n_slices:
     offsets = totals.select(
         "_slice", *group_cols, *[F.coalesce(F.sum(f"_tot_{c}").over(prev), F.lit(0)).alias(f"_off_{c}") for c in sum_cols]
     )
-    joined = local.join(offsets, ["_slice", *group_cols])
+    joined = join_small(local, offsets, ["_slice", *group_cols])  # one row per (slice, group)
     return joined.withColumns({f"cum_{c}": F.col(f"_cum_{c}") + F.col(f"_off_{c}") for c in sum_cols}).drop(
         "_slice", *[f"_cum_{c}" for c in sum_cols], *[f"_off_{c}" for c in sum_cols]
     )
@@ -124,7 +126,7 @@ def exact_quantiles(df: DataFrame, value_col: str, qs, group_cols=(), n_slices:
     )
     sizes = sizes.select(*group_cols, wanted.alias("_w"))
     if group_cols:
-        j = cum.join(sizes, group_cols)
+        j = join_small(cum, sizes, group_cols)  # one row per group
     else:
         j = cum.withColumn("_w", sizes.select("_w").scalar())
     hits = j.select(
