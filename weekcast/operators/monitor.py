@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import numeric as num
+from ..session import ensure_checkpoint_dir
 from . import positional
 from .joins import join_small
 
@@ -166,6 +167,7 @@ def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True) -> D
     recomputing the positional split four times.
     """
     if materialize:
+        ensure_checkpoint_dir(sides.sparkSession)
         sides = sides.checkpoint(eager=True)
     sides, group_cols, synthetic = _grouped(sides, group_cols)
     side_stats = sides.groupBy(*group_cols).agg(
