@@ -3,7 +3,7 @@
 A window with no ``partitionBy`` funnels every row through one task.  The
 helpers here get the same answers at any scale.  Rows are cut into
 *slices* by comparing their order key with approximate quantile bounds
-(one ``percentile_approx`` pass, evaluated as a scalar subquery).  Each slice
+(one ``percentile_approx`` pass; the few bounds are pinned as literals).  Each slice
 is ranked or summed on its own, and a tiny table (one row per slice and group)
 carries the offsets between slices.
 
@@ -46,17 +46,22 @@ def numeric_key(df: DataFrame, col: str) -> Column:
 def with_slice(df: DataFrame, key: Column, n_slices: int | None = None, name: str = "_slice") -> DataFrame:
     """Add the slice number of each row: how many quantile bounds are ≤ its key.
 
-    Equal keys always share a slice; slices are balanced by the approximate
-    quantiles except where one key value is itself heavy.
+    The bounds (at most ``n_slices − 1`` numbers) are computed once and pinned
+    as a literal array, so every later job and every retried task cuts the
+    same slices.  Equal keys always share a slice; slices are balanced by the
+    approximate quantiles except where one key value is itself heavy.
     """
     n = _n_slices(df, n_slices)
-    if n == 1:
-        return df.withColumn(name, F.lit(0))
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    bounds = df.agg(F.percentile_approx(key, probs, SLICE_ACCURACY)).scalar()
-    df = df.withColumns({"_key": key, "_bounds": bounds})
-    slice_no = F.aggregate("_bounds", F.lit(0), lambda acc, b: acc + F.when(b <= F.col("_key"), 1).otherwise(0))
-    return df.withColumn(name, F.coalesce(slice_no, F.lit(0))).drop("_key", "_bounds")
+    found = df.agg(F.percentile_approx(key, probs, SLICE_ACCURACY).alias("b")).first()["b"] if n > 1 else None
+    bounds = sorted({float(b) for b in (found or []) if b is not None})
+    if not bounds:
+        return df.withColumn(name, F.lit(0))
+    k = key
+    slice_no = F.lit(0)
+    for b in bounds:
+        slice_no = slice_no + F.when(k >= F.lit(b), 1).otherwise(0)
+    return df.withColumn(name, slice_no.cast("int"))
 
 
 def global_position(df: DataFrame, order_cols, n_slices: int | None = None, name: str = "_pos") -> DataFrame:
