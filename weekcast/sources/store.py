@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
+from ..operators.joins import join_small
 from ..session import shared_path
 
 
@@ -67,25 +68,33 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def upsert_latest(current: DataFrame, incoming: DataFrame, keys, order_col: str | None = None) -> DataFrame:
+def upsert_latest(current: DataFrame, incoming: DataFrame, keys) -> DataFrame:
     """Keyed insert — for each key the incoming row wins over the stored one.
 
-    Implemented as an aggregate (``max_by`` over the load order) rather than
-    a window, so a hot key is reduced map-side.
+    ``incoming`` ∪ (stored rows whose key is not incoming).  The anti join
+    broadcasts the incoming keys when the batch is small (the usual
+    incremental load), so the stored table is scanned but never shuffled.
+    Incoming keys must be unique (one row per key, as a batch of weeks is).
     """
     keys = list(keys)
-    cols = [c for c in current.columns]
-    tagged = current.withColumn("_load", F.lit(0)).unionByName(
-        incoming.select(*cols).withColumn("_load", F.lit(1))
-    )
-    rest = [c for c in cols if c not in keys]
-    latest = F.max_by(F.struct(*rest), F.col("_load")).alias("_row")
-    return tagged.groupBy(*keys).agg(latest).select(*keys, "_row.*").select(*cols)
+    cols = list(current.columns)
+    kept = join_small(current, incoming.select(*keys).distinct(), keys, "left_anti")
+    return incoming.select(*cols).unionByName(kept.select(*cols))
+
 
+def new_rows(incoming: DataFrame, stored: DataFrame, keys, week_col: str = "week_start") -> DataFrame:
+    """Incoming rows whose key is not stored yet (anti join).
 
-def new_rows(incoming: DataFrame, stored: DataFrame, keys) -> DataFrame:
-    """Incoming rows whose key is not stored yet (anti join)."""
-    return incoming.join(stored.select(*keys), list(keys), "left_anti")
+    The stored side is first cut to the incoming batch's week range (scalar
+    bounds → pushed filter / partition pruning), so the anti join only sees
+    the overlapping weeks.
+    """
+    keys = list(keys)
+    if week_col in keys:
+        lo = incoming.agg(F.min(week_col)).scalar()
+        hi = incoming.agg(F.max(week_col)).scalar()
+        stored = stored.where(F.col(week_col).between(lo, hi))
+    return join_small(incoming, stored.select(*keys).distinct(), keys, "left_anti")
 
 
 def profile(df: DataFrame, family_col: str = "familia", week_col: str = "week_start") -> DataFrame:
