@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
-from ..sources.store import new_location
+from ..sources.store import new_location, new_rows
 
 WEEK = "7 days"
 MONDAY_OFFSET = "4 days"  # the epoch is a Thursday; +4 days aligns windows on Mondays
@@ -88,8 +88,8 @@ def upsert_batch(path: str, keys, only_new: bool = False, first_id: int = 0):
                 return
             out = batch
             if only_new and _exists(spark, path):
-                stored = read_upserted(spark, path, keys).select(*keys)
-                out = out.join(stored, list(keys), "left_anti")
+                # anti join against the stored keys of this batch's weeks only
+                out = new_rows(out, read_upserted(spark, path, keys).select(*keys), keys)
             out.write.mode("overwrite").parquet(f"{path}/batch_id={first_id + batch_id}")
         finally:
             batch.unpersist()
