@@ -133,14 +133,23 @@ def with_ks_z(df: DataFrame, d, n1, n2) -> DataFrame:
     return df.withColumn("_z", F.sqrt(en) * d)
 
 
-def ks(sides: DataFrame, group_cols=()) -> DataFrame:
-    """Two-sample KS statistic max|F_baseline − F_current| and its asymptotic p-value."""
+def ks(sides: DataFrame, group_cols=(), bounded: bool = False) -> DataFrame:
+    """Two-sample KS statistic max|F_baseline − F_current| and its asymptotic p-value.
+
+    ``bounded=True`` is for per-group series whose size does not grow with
+    the raw data (weeks × families): the cumulative counts are then one
+    window per group instead of the sliced running sums.
+    """
     sides, group_cols, synthetic = _grouped(sides, group_cols)
     per_value = sides.groupBy(*group_cols, "value").agg(
         F.count(F.when(F.col("side") == "baseline", 1)).alias("cb"),
         F.count(F.when(F.col("side") == "current", 1)).alias("cc"),
     )
-    cum = positional.running_sums(per_value, group_cols, "value", ["cb", "cc"])
+    if bounded and not synthetic:
+        upto = Window.partitionBy(*group_cols).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+        cum = per_value.withColumns({"cum_cb": F.sum("cb").over(upto), "cum_cc": F.sum("cc").over(upto)})
+    else:
+        cum = positional.running_sums(per_value, group_cols, "value", ["cb", "cc"])
     sizes = per_value.groupBy(*group_cols).agg(F.sum("cb").alias("_nb"), F.sum("cc").alias("_nc"))
     gap = F.abs(F.col("cum_cb") / F.col("_nb") - F.col("cum_cc") / F.col("_nc"))
     out = join_small(cum, sizes, group_cols).groupBy(*group_cols).agg(
@@ -158,13 +167,15 @@ def alert_level(psi_col, p_col) -> F.Column:
     return level
 
 
-def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True) -> DataFrame:
+def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True, bounded: bool = False) -> DataFrame:
     """PSI (both modes), KS, alert level, side means/population stds/sizes per group.
 
     Groups with fewer than 10 values on a side get ``alert_level = 'insufficient_data'``.
     The sides feed four aggregates; ``materialize`` cuts their lineage once
     with a reliable ``checkpoint()`` (to ``spark.checkpoint.dir``) instead of
-    recomputing the positional split four times.
+    recomputing the positional split (and everything upstream) four times.
+    ``bounded=True`` (per-group series bounded by weeks × families) uses
+    group windows for the KS cumulative counts.
     """
     if materialize:
         ensure_checkpoint_dir(sides.sparkSession)
@@ -180,7 +191,7 @@ def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True) -> D
     )
     p1 = psi(sides, group_cols, mode="independent")
     p2 = psi(sides, group_cols, mode="shared").withColumnRenamed("psi", "psi_shared")
-    k = ks(sides, group_cols)
+    k = ks(sides, group_cols, bounded=bounded)
     out = side_stats.join(p1, group_cols, "left").join(p2, group_cols, "left").join(k, group_cols, "left")
     out = out.drop("_g") if synthetic else out
     enough = (F.col("baseline_size") >= MIN_SIDE_ROWS) & (F.col("current_size") >= MIN_SIDE_ROWS)
