@@ -82,7 +82,16 @@ def from_epoch(value, unit) -> Column:
         .when(unit == "ms", v * 1000)
         .when(unit == "s", v * 1000000)
     )
-    return F.timestamp_micros(micros).cast("timestamp_ntz")
+    return ntz_from_micros(micros)
+
+
+def ntz_from_micros(micros) -> Column:
+    """TIMESTAMP_NTZ (naive UTC wall time) from epoch microseconds, independent of the session time zone."""
+    m = _c(micros)
+    days = F.call_function("div", m, F.lit(86400000000))
+    secs = ((m - days * 86400000000).cast("decimal(18,0)") / F.lit(1000000)).cast("decimal(18,6)")
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(days.cast("int"), F.lit(0), F.lit(0), secs)
 
 
 def coerce_epoch(df: DataFrame, cols) -> DataFrame:
@@ -97,3 +106,19 @@ def coerce_epoch(df: DataFrame, cols) -> DataFrame:
         unit = stats.select(epoch_unit(stats)).scalar()
         out = out.withColumn(c, from_epoch(F.col(c), unit))
     return out
+
+
+def wall_micros(c) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp's wall-clock reading (no time-zone shift)."""
+    t = _c(c)
+    return (
+        F.unix_date(F.to_date(t)).cast("bigint") * 86400000000
+        + F.hour(t).cast("bigint") * 3600000000
+        + F.minute(t).cast("bigint") * 60000000
+        + (F.date_part(F.lit("SECOND"), t) * 1000000).cast("bigint")
+    )
+
+
+def wall_instant(c) -> Column:
+    """TIMESTAMP whose UTC reading equals the wall-clock reading of ``c`` (for windows/watermarks)."""
+    return F.timestamp_micros(wall_micros(c))

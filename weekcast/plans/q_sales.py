@@ -418,8 +418,8 @@ def calendar_features(spark, sf_dir):
 
 def _epoch_source(spark, sf_dir):
     """Events with their time as s/ms/us/ns epoch text, plus 0, −1, null and junk cells."""
-    ev = tables.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"))
-    us = F.unix_micros("ts")
+    ev = tables.table(spark, sf_dir, "events").select("event_id", "ts")
+    us = dates.wall_micros("ts")  # epoch micros of the wall-clock value (time-zone independent)
     dirt = F.col("event_id") % 100
 
     def col(v):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.errors import AnalysisException
 
+from ..functions import dates
 from ..sources.store import new_location, new_rows
 
 WEEK = "7 days"
@@ -22,7 +23,11 @@ MONDAY_OFFSET = "4 days"  # the epoch is a Thursday; +4 days aligns windows on M
 
 
 def read_event_stream(spark: SparkSession, path: str, ts_col: str = "ts") -> DataFrame:
-    """T1 source: a file stream with the batch schema; timestamps cast to TIMESTAMP (watermarks reject NTZ)."""
+    """T1 source: a file stream with the batch schema.
+
+    ``_day`` keeps the wall-clock date of the event; ``ts`` becomes a
+    TIMESTAMP for the watermark (watermarks reject TIMESTAMP_NTZ).
+    """
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     if path.rstrip("/").endswith(".parquet"):
@@ -31,7 +36,10 @@ def read_event_stream(spark: SparkSession, path: str, ts_col: str = "ts") -> Dat
         stream = reader.option("pathGlobFilter", name).parquet(folder)
     else:
         stream = reader.parquet(path)
-    return stream.withColumn(ts_col, F.col(ts_col).cast("timestamp"))
+    # the event time for windows and the watermark is the wall-clock reading
+    # as a UTC instant: Monday-aligned windows then match wall-clock weeks in
+    # any session time zone
+    return stream.withColumn("_day", F.to_date(F.col(ts_col))).withColumn(ts_col, dates.wall_instant(ts_col))
 
 
 def weekly_rollup_stream(
@@ -42,12 +50,18 @@ def weekly_rollup_stream(
     watermark: str = "7 days",
     value_type: str = "decimal(18,2)",
 ) -> DataFrame:
-    """Per (Monday week, key): events, exact value sum, distinct active days."""
+    """Per (Monday week, key): events, exact value sum, distinct active days.
+
+    Weeks and days come from the event's wall-clock date, so they do not
+    depend on the session time zone; the 7-day window on the timestamp is
+    a grouping key only so the watermark can evict finished weeks' state.
+    """
+    day = F.col("_day") if "_day" in events.columns else F.to_date(F.col(ts_col))
     w = F.window(F.col(ts_col), WEEK, WEEK, MONDAY_OFFSET)
-    day_bit = F.call_function("shiftleft", F.lit(1), F.weekday(F.col(ts_col)))
+    day_bit = F.call_function("shiftleft", F.lit(1), F.weekday(day))
     agg = (
         events.withWatermark(ts_col, watermark)
-        .groupBy(w.alias("w"), F.col(key_col))
+        .groupBy(w.alias("w"), F.date_sub(day, F.weekday(day)).alias("week_start"), F.col(key_col))
         .agg(
             F.count(F.lit(1)).alias("n_events"),
             F.sum(F.col(value_col).cast(value_type)).alias("total_value"),
@@ -55,7 +69,7 @@ def weekly_rollup_stream(
         )
     )
     return agg.select(
-        F.to_date(F.col("w.start")).alias("week_start"),
+        "week_start",
         key_col,
         F.col("n_events").cast("bigint").alias("n_events"),
         "total_value",
