@@ -13,6 +13,7 @@ penalties have no counterpart; row subsampling and column sampling map to
 from __future__ import annotations
 
 import itertools
+import math
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -88,8 +89,20 @@ def pipeline(features, estimator, family_col: str = "familia") -> Pipeline:
     )
 
 
+ROWS_PER_PARTITION = 200_000
+
+
 def fit(train: DataFrame, estimator, features=None) -> PipelineModel:
+    """Fit the pipeline; the training rows are packed into ``⌈rows / 200k⌉`` partitions.
+
+    Tree learners run a few jobs per tree level, so a feature table of a few
+    thousand family-weeks spread over hundreds of tiny tasks spends its time
+    scheduling; a large table keeps its parallelism.
+    """
     features = features or feature_columns(train)
+    parts = max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
+    if parts < train.rdd.getNumPartitions():
+        train = train.coalesce(parts)
     return pipeline(features, estimator).fit(train)
 
 
