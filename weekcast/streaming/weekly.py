@@ -79,7 +79,7 @@ def weekly_rollup_stream(
 
 def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
     """Current state of the log-structured table: newest batch's row per key (``max_by``)."""
-    log = spark.read.parquet(path)
+    log = spark.read.option("basePath", path).parquet(path)
     rest = [c for c in log.columns if c not in keys and c != "batch_id"]
     return log.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col("batch_id")).alias("_r")).select(*keys, "_r.*")
 
@@ -104,7 +104,12 @@ def upsert_batch(path: str, keys, only_new: bool = False, first_id: int = 0):
             if only_new and _exists(spark, path):
                 # anti join against the stored keys of this batch's weeks only
                 out = new_rows(out, read_upserted(spark, path, keys).select(*keys), keys)
-            out.write.mode("overwrite").parquet(f"{path}/batch_id={first_id + batch_id}")
+            # week folders inside the batch folder: replay's week-range filter prunes them
+            part = [k for k in keys if k == "week_start"]
+            writer = out.write.mode("overwrite")
+            if part:
+                writer = writer.partitionBy(*part)
+            writer.parquet(f"{path}/batch_id={first_id + batch_id}")
         finally:
             batch.unpersist()
 
