@@ -31,11 +31,16 @@ KS_TERMS = 40  # exp(-2·j²·z²) < 1e-30 for j ≥ 40 once z ≥ 0.15 (below 0
 
 
 def _grouped(sides: DataFrame, group_cols):
-    """Ungrouped drift runs as one constant group so every join stays an equi-join."""
+    """Ungrouped drift runs as one constant group so every join stays an equi-join.
+
+    The key is 0 on every row but is not a literal: Catalyst folds a literal
+    key out of the join condition, which would turn the join into a
+    nested-loop/cartesian join.
+    """
     group_cols = list(group_cols)
     if group_cols:
         return sides, group_cols, False
-    return sides.withColumn("_g", F.lit(0)), ["_g"], True
+    return sides.withColumn("_g", F.xxhash64(F.col("side")) * F.lit(0)), ["_g"], True
 
 
 def split_sides_global(df: DataFrame, order_cols, value_col: str, ratio: float = BASELINE_SHARE) -> DataFrame:
@@ -62,6 +67,13 @@ def split_sides_grouped(df: DataFrame, group_cols, order_col: str, value_col: st
     )
 
 
+def _attach(df: DataFrame, small: DataFrame, group_cols, how: str = "inner") -> DataFrame:
+    """Join one-row-per-group results; an ungrouped (one-row) result becomes scalar subqueries."""
+    if group_cols:
+        return join_small(df, small, list(group_cols), how)
+    return df.withColumns({c: small.select(c).scalar() for c in small.columns})
+
+
 # ---------------------------------------------------------------- PSI
 
 
@@ -152,7 +164,11 @@ def ks(sides: DataFrame, group_cols=(), bounded: bool = False) -> DataFrame:
         cum = positional.running_sums(per_value, group_cols, "value", ["cb", "cc"])
     sizes = per_value.groupBy(*group_cols).agg(F.sum("cb").alias("_nb"), F.sum("cc").alias("_nc"))
     gap = F.abs(F.col("cum_cb") / F.col("_nb") - F.col("cum_cc") / F.col("_nc"))
-    out = join_small(cum, sizes, group_cols).groupBy(*group_cols).agg(
+    if synthetic:
+        joined = _attach(cum, sizes.drop("_g"), [])
+    else:
+        joined = join_small(cum, sizes, group_cols)
+    out = joined.groupBy(*group_cols).agg(
         F.max(gap).alias("ks_statistic"), F.max("_nb").alias("_nb"), F.max("_nc").alias("_nc")
     )
     out = with_ks_z(out, F.col("ks_statistic"), F.col("_nb"), F.col("_nc"))
@@ -180,8 +196,9 @@ def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True, boun
     if materialize:
         ensure_checkpoint_dir(sides.sparkSession)
         sides = sides.checkpoint(eager=True)
-    sides, group_cols, synthetic = _grouped(sides, group_cols)
-    side_stats = sides.groupBy(*group_cols).agg(
+    original = list(group_cols)
+    work, group_cols, synthetic = _grouped(sides, original)
+    side_stats = work.groupBy(*group_cols).agg(
         F.avg(F.when(F.col("side") == "baseline", F.col("value"))).alias("baseline_mean"),
         F.avg(F.when(F.col("side") == "current", F.col("value"))).alias("current_mean"),
         F.stddev_pop(F.when(F.col("side") == "baseline", F.col("value"))).alias("baseline_std"),
@@ -189,11 +206,15 @@ def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True, boun
         F.count(F.when(F.col("side") == "baseline", 1)).cast("bigint").alias("baseline_size"),
         F.count(F.when(F.col("side") == "current", 1)).cast("bigint").alias("current_size"),
     )
-    p1 = psi(sides, group_cols, mode="independent")
-    p2 = psi(sides, group_cols, mode="shared").withColumnRenamed("psi", "psi_shared")
-    k = ks(sides, group_cols, bounded=bounded)
-    out = side_stats.join(p1, group_cols, "left").join(p2, group_cols, "left").join(k, group_cols, "left")
-    out = out.drop("_g") if synthetic else out
+    p1 = psi(sides, original, mode="independent")
+    p2 = psi(sides, original, mode="shared").withColumnRenamed("psi", "psi_shared")
+    k = ks(sides, original, bounded=bounded)
+    if synthetic:  # one-row results: attach as scalars, not by a constant-key join
+        out = _attach(side_stats.drop("_g"), p1, [])
+        out = _attach(out, p2, [])
+        out = _attach(out, k, [])
+    else:
+        out = side_stats.join(p1, group_cols, "left").join(p2, group_cols, "left").join(k, group_cols, "left")
     enough = (F.col("baseline_size") >= MIN_SIDE_ROWS) & (F.col("current_size") >= MIN_SIDE_ROWS)
     return out.withColumn(
         "alert_level", F.when(enough, alert_level(F.col("psi"), F.col("ks_p_value"))).otherwise(F.lit("insufficient_data"))
@@ -211,7 +232,7 @@ def histogram_compare(sides: DataFrame, bins: int = 30, group_cols=()) -> DataFr
     rng = rng.withColumns(
         {"_lo": F.when(same, F.col("_lo") - 0.5).otherwise(F.col("_lo")), "_hi": F.when(same, F.col("_hi") + 0.5).otherwise(F.col("_hi"))}
     )
-    keyed = join_small(sides, rng, group_cols)
+    keyed = _attach(sides, rng.drop("_g"), []) if synthetic else join_small(sides, rng, group_cols)
     raw = F.floor((F.col("value") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo"))))
     b = F.least(F.greatest(raw, F.lit(0)), F.lit(bins - 1)).cast("int")
     counts = keyed.groupBy(*group_cols, b.alias("bin")).agg(
