@@ -7,12 +7,36 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import lang_id, simhash
+from . import decontaminate, lang_id, mixing, simhash, token_files
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
 
+#: Shares of the expected tokens: somewhat less toxic and low-quality text than the corpus has.
+SHARES = {"q1t0": 0.89, "q1t1": 0.045, "q0t0": 0.055, "q0t1": 0.01}
+
+
+def tokenizer_path() -> str:
+    """The public byte-level BPE file that is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.checksums(token_files.encoded(table(spark, sf_dir, "documents"), tokenizer_path()))
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    domains = mixing.domain_of(table(spark, sf_dir, "labels"))
+    return mixing.document_rates(table(spark, sf_dir, "documents"), domains, SHARES)
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, max_bits=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -22,5 +46,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {"op9_simhash": op9_simhash, "op10_language": op10_language}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op3_token_files, op8_mixing, op9_simhash, op10_language)}
 ORACLE: dict[str, str] = {}
