@@ -236,11 +236,10 @@ def _machine(bad: list[str], good: list[str], landmarks: int, steps: int = 200)
     own = bad + good
     y = np.array([1.0] * len(bad) + [-1.0] * len(good))
     pick = [words[i] for words, k in ((bad, landmarks // 2), (good, landmarks // 2)) for i in np.unique(np.linspace(0, len(words) - 1, min(len(words), k)).astype(int))]
-    used = np.zeros((len(pick), TRIPLES), np.float32)
     r, c, v = vectors(pick, alphabet)
+    kept, c = np.unique(c, return_inverse=True)
+    used = np.zeros((len(pick), len(kept)))
     used[r, c] = v
-    kept = np.flatnonzero(used.any(axis=0))
-    used = used[:, kept].astype(float)
     value, basis = np.linalg.eigh(used @ used.T)
     root = basis / np.sqrt(np.maximum(value, 1e-4)) @ basis.T  # the inverse root of the landmarks' kernel
     to_feature = used.T @ root  # triples x features
