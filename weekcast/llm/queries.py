@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_id, licenses, mixing, simhash, token_files, toxicity, url_filter
+from . import decontaminate, lang_id, licenses, mixing, passages, simhash, token_files, toxicity, url_filter
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,10 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated(table(spark, sf_dir, "documents"), least_words=50, similarity=0.8)
+
+
 def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.encoded(table(spark, sf_dir, "documents"), tokenizer_path()))
 
@@ -59,5 +63,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op3_token_files, op4_toxicity, op5_licenses, op7_url_filter, op8_mixing, op9_simhash, op10_language)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op7_url_filter, op8_mixing, op9_simhash, op10_language)}
 ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql()}
