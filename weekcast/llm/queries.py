@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_id, licenses, mixing, passages, simhash, token_files, toxicity, url_filter
+from . import decontaminate, lang_id, licenses, mixing, passages, simhash, token_files, topk, toxicity, url_filter
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +44,10 @@ def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.found(table(spark, sf_dir, "documents"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.like_documents(table(spark, sf_dir, "documents"), every=50, k=10)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = url_filter.judged(table(spark, sf_dir, "pages"))
     return found.withColumns({c: F.array_join(c, ",") for c in ("strict_hits", "soft_hits")})
@@ -63,5 +67,5 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op7_url_filter, op8_mixing, op9_simhash, op10_language)}
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op6_topk, op7_url_filter, op8_mixing, op9_simhash, op10_language)}
 ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql()}
