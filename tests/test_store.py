@@ -41,6 +41,6 @@ def test_join_small_broadcasts_only_under_the_bound(spark):
     big = spark.range(1000).withColumn("k", F.col("id") % 10)
     small = spark.range(10).withColumnRenamed("id", "k")
     plan_small = join_small(big, small, "k")._jdf.queryExecution().executedPlan().toString()
-    plan_over = join_small(big, small, "k", max_rows=5)
+    plan_over = join_small(big, small, "k", max_bytes=5)
     assert "Broadcast" in plan_small
     assert plan_over.count() == 1000 and join_small(big, small, "k").count() == 1000

@@ -42,35 +42,43 @@ def epoch_unit_stats(df: DataFrame, col: str) -> DataFrame:
     below T and the smallest value at or above T — enough to decide
     ``median ≥ T`` exactly without sorting or collecting the column.
     """
+    return df.agg(*[x.alias(name) for name, x in _unit_facts(col).items()])
+
+
+def _unit_facts(col: str) -> dict[str, Column]:
     v = _epoch_numbers(col)
-    aggs = [F.count(v).alias("n")]
+    facts = {"n": F.count(v)}
     for unit, t in EPOCH_UNIT_THRESHOLDS:
-        aggs += [
-            F.count(F.when(v < F.lit(t), v)).alias(f"below_{unit}"),
-            F.max(F.when(v < F.lit(t), v)).alias(f"hi_below_{unit}"),
-            F.min(F.when(v >= F.lit(t), v)).alias(f"lo_above_{unit}"),
-        ]
-    return df.agg(*aggs)
+        facts |= {
+            f"below_{unit}": F.count(F.when(v < F.lit(t), v)),
+            f"hi_below_{unit}": F.max(F.when(v < F.lit(t), v)),
+            f"lo_above_{unit}": F.min(F.when(v >= F.lit(t), v)),
+        }
+    return facts
 
 
-def _median_at_least(unit: str, t: float) -> Column:
-    n = F.col("n")
-    below = F.col(f"below_{unit}")
+def _median_at_least(unit: str, t: float, at: str = "") -> Column:
+    n = F.col(f"{at}n")
+    below = F.col(f"{at}below_{unit}")
     odd = (n % 2) == 1
     # odd n: median is the ((n+1)/2)-th value; even n: mean of the (n/2)-th and (n/2+1)-th
     odd_case = below <= (n - 1) / 2
     even_case = F.when(below < n / 2, F.lit(True)).when(below > n / 2, F.lit(False)).otherwise(
-        (F.col(f"hi_below_{unit}").cast("double") + F.col(f"lo_above_{unit}").cast("double")) / 2 >= F.lit(t)
+        (F.col(f"{at}hi_below_{unit}").cast("double") + F.col(f"{at}lo_above_{unit}").cast("double")) / 2 >= F.lit(t)
     )
     return F.when(odd, odd_case).otherwise(even_case)
 
 
 def epoch_unit(stats: DataFrame) -> Column:
     """Unit column (``ns``/``us``/``ms``/``s``) over the frame from ``epoch_unit_stats``."""
+    return _unit_of("")
+
+
+def _unit_of(at: str) -> Column:
     expr = F.lit("s")
     for unit, t in reversed(EPOCH_UNIT_THRESHOLDS):
-        expr = F.when(_median_at_least(unit, t), F.lit(unit)).otherwise(expr)
-    return F.when(F.col("n") > 0, expr)
+        expr = F.when(_median_at_least(unit, t, at), F.lit(unit)).otherwise(expr)
+    return F.when(F.col(f"{at}n") > 0, expr)
 
 
 def from_epoch(value, unit) -> Column:
@@ -79,8 +87,8 @@ def from_epoch(value, unit) -> Column:
     micros = (
         F.when(unit == "ns", F.call_function("div", v, F.lit(1000)))
         .when(unit == "us", v)
-        .when(unit == "ms", v * 1000)
-        .when(unit == "s", v * 1000000)
+        .when(unit == "ms", F.try_multiply(v, F.lit(1000).cast("bigint")))
+        .when(unit == "s", F.try_multiply(v, F.lit(1000000).cast("bigint")))
     )
     return ntz_from_micros(micros)
 
@@ -88,6 +96,8 @@ def from_epoch(value, unit) -> Column:
 def ntz_from_micros(micros) -> Column:
     """TIMESTAMP_NTZ (naive UTC wall time) from epoch microseconds, independent of the session time zone."""
     m = _c(micros)
+    # beyond the years 1 to 9999 there is no timestamp: such a number (another unit's) becomes null
+    m = F.when(m.between(-62135596800000000, 253402300799999999), m)
     days = F.call_function("div", m, F.lit(86400000000))
     secs = ((m - days * 86400000000).cast("decimal(18,0)") / F.lit(1000000)).cast("decimal(18,6)")
     epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
@@ -100,12 +110,13 @@ def coerce_epoch(df: DataFrame, cols) -> DataFrame:
     The unit is a scalar subquery over exact aggregates, so the conversion
     stays a projection of the original rows (no join, no collect).
     """
-    out = df
-    for c in cols:
-        stats = epoch_unit_stats(df, c)
-        unit = stats.select(epoch_unit(stats)).scalar()
-        out = out.withColumn(c, from_epoch(F.col(c), unit))
-    return out
+    cols = list(cols)
+    parts = {c: [x.alias(f"{x_name}") for x_name, x in _unit_facts(c).items()] for c in cols}
+    # one pass for all columns; one struct of units, read once
+    stats = df.agg(*[F.struct(*parts[c]).alias(f"_facts_{i}") for i, c in enumerate(cols)])
+    units = stats.select(F.struct(*[_unit_of(f"_facts_{i}.").alias(f"u{i}") for i in range(len(cols))]).alias("u")).scalar()
+    out = df.withColumn("_units", units)
+    return out.withColumns({c: from_epoch(F.col(c), F.col(f"_units.u{i}")) for i, c in enumerate(cols)}).drop("_units")
 
 
 def wall_micros(c) -> Column:

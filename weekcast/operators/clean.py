@@ -24,8 +24,9 @@ CLOSED = "cerrado"  # label of synthetic closed-day rows
 
 
 def filter_date_range(df: DataFrame, start=None, end=None, date_col: str = "fecha") -> DataFrame:
-    """Inclusive range; an open bound means the data's own min/max (i.e. no bound)."""
+    """Inclusive range; an open bound means the data's own min/max, so a row without a date is never inside."""
     d = F.col(date_col)
+    df = df.where(d.isNotNull())
     if start is not None:
         df = df.where(d >= F.lit(start).cast("date"))
     if end is not None:
@@ -231,10 +232,12 @@ def impute_family_month(
         aggs.append(F.count(F.when(any_month, F.col(c))).alias(f"_np_{c}"))
         aggs.append(num.to_units(F.sum(F.when(in_year, dec(c))), sc).alias(f"_uy_{c}"))
         aggs.append(F.count(F.when(in_year, F.col(c))).alias(f"_ny_{c}"))
-        aggs.append(F.count(F.when(in_target & F.col(c).isNull(), F.lit(1))).alias(f"_k_{c}"))
-    stats = df.groupBy(family_col).agg(*aggs)
+    # only the year, the neighbour months and the target month matter: the range reaches the scan
+    lo = F.least(F.lit(f"{year}-01-01").cast("date"), tgt, *months)
+    hi = F.greatest(F.lit(f"{year}-12-31").cast("date"), F.last_day(tgt), *[F.last_day(m) for m in months])
+    stats = df.where(F.col(date_col).between(lo, hi)).groupBy(family_col).agg(*aggs)
 
-    fills = {}
+    steps, fills = {}, {}
     for c in cols:
         sc = scale_of(c)
         us = [F.col(f"_u{i}_{c}") for i in range(len(months))]
@@ -263,17 +266,14 @@ def impute_family_month(
             step1 = F.lit(None).cast("long")
         else:
             raise ValueError(method)
-        uy, ny, k = F.col(f"_uy_{c}"), F.col(f"_ny_{c}"), F.col(f"_k_{c}")
-        if method == "pooled":
-            yn_, yd_ = F.coalesce(uy, F.lit(0)), ny
-        else:
-            # the k cells filled in step 1 count towards the year mean
-            kk = F.when(step1.isNotNull(), k).otherwise(F.lit(0))
-            yn_ = F.coalesce(uy, F.lit(0)) + F.coalesce(step1, F.lit(0)) * kk
-            yd_ = ny + kk
-        year_units = F.when(yd_ > 0, num.half_up_div(yn_, yd_))
+        # computed once per family, in a projection of its own
+        steps[f"_s_{c}"] = step1
+        step1 = F.col(f"_s_{c}")
+        uy, ny = F.col(f"_uy_{c}"), F.col(f"_ny_{c}")
+        # read only where step 1 gave nothing, so no cell that step 1 filled counts in it
+        year_units = F.when(ny > 0, num.half_up_div(F.coalesce(uy, F.lit(0)), ny))
         fills[f"_f_{c}"] = num.from_units(F.coalesce(step1, year_units), sc, 38).cast(types[c])
-    stats = stats.select(family_col, *[v.alias(k) for k, v in fills.items()])
+    stats = stats.withColumns(steps).select(family_col, *[v.alias(k) for k, v in fills.items()])
 
     joined = join_small(df, stats, family_col, "left")  # one row per family
     filled = [in_target & F.col(c).isNull() & F.col(f"_f_{c}").isNotNull() for c in cols]

@@ -13,7 +13,6 @@ penalties have no counterpart; row subsampling and column sampling map to
 from __future__ import annotations
 
 import itertools
-import math
 import random
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -56,17 +55,20 @@ def feature_columns(df: DataFrame, exclude=("familia", "week_start", "target", "
     return [c for c in df.columns if c not in exclude and "_next" not in c]
 
 
-def regressor(kind: str, **params):
-    """Bake-off members (M3): linear, ridge, lasso, random forest, boosted trees."""
+def regressor(kind: str, rows: int = 1, **params):
+    """Bake-off members (M3): linear, ridge, lasso, random forest, boosted trees.
+
+    ``rows`` (of the training set) scales the ridge penalty.
+    """
     common = {"featuresCol": "features", "labelCol": "target", "predictionCol": "prediction"}
     if kind == "linear":
         return LinearRegression(regParam=0.0, **common, **params)
-    if kind == "ridge":
-        return LinearRegression(regParam=1.0, elasticNetParam=0.0, **common, **params)
+    if kind == "ridge":  # a penalty of 1 on the sum of squares: 1 / rows on Spark's mean, on unscaled features
+        return LinearRegression(regParam=1.0 / rows, elasticNetParam=0.0, standardization=False, **common, **params)
     if kind == "lasso":
-        return LinearRegression(regParam=0.1, elasticNetParam=1.0, **common, **params)
-    if kind == "random_forest":
-        return RandomForestRegressor(numTrees=100, seed=SEED, **common, **params)
+        return LinearRegression(regParam=0.1, elasticNetParam=1.0, standardization=False, **common, **params)
+    if kind == "random_forest":  # full depth (30 is Spark's limit), all features at each split
+        return RandomForestRegressor(numTrees=100, maxDepth=30, featureSubsetStrategy="all", seed=SEED, **common, **params)
     if kind == "gradient_boosting":
         return GBTRegressor(maxIter=100, maxDepth=3, stepSize=0.1, seed=SEED, **common, **params)
     if kind == "gbt":
@@ -83,31 +85,33 @@ def pipeline(features, estimator, family_col: str = "familia") -> Pipeline:
         stages=[
             StringIndexer(inputCol=family_col, outputCol="_fam_idx", handleInvalid="keep"),
             OneHotEncoder(inputCol="_fam_idx", outputCol="_fam_vec", handleInvalid="keep"),
-            VectorAssembler(inputCols=[*features, "_fam_vec"], outputCol="features", handleInvalid="skip"),
+            VectorAssembler(inputCols=[*features, "_fam_vec"], outputCol="features", handleInvalid="keep"),
             estimator,
         ]
     )
 
 
-ROWS_PER_PARTITION = 200_000
+#: Partitions of a training set.  Row samples are drawn per partition, so this number is part of the model's seed.
+TRAIN_PARTITIONS = 4
 
 
-def fit(train: DataFrame, estimator, features=None) -> PipelineModel:
-    """Fit the pipeline; the training rows are packed into ``⌈rows / 200k⌉`` partitions.
+def fit(train: DataFrame, estimator, features=None, partitions: int = TRAIN_PARTITIONS, keys=("familia", "week_start")) -> PipelineModel:
+    """Fit the pipeline on complete rows; a null feature or target is an error, not a dropped row.
 
-    Tree learners run a few jobs per tree level, so a feature table of a few
-    thousand family-weeks spread over hundreds of tiny tasks spends its time
-    scheduling; a large table keeps its parallelism.
+    The rows are dealt by a hash of their keys into ``partitions`` sorted
+    partitions, so the model depends neither on the input's partitions nor
+    on the cluster.
     """
     features = features or feature_columns(train)
-    parts = max(1, math.ceil(train.count() / ROWS_PER_PARTITION))
-    if parts < train.rdd.getNumPartitions():
-        train = train.coalesce(parts)
-    return pipeline(features, estimator).fit(train)
+    missing = [c for c in (*features, "target") if dict(train.dtypes)[c] != "void"]
+    bad = train.where(F.greatest(*[F.col(c).isNull().cast("int") for c in missing], F.lit(0)) == 1).count()
+    if bad:
+        raise ValueError(f"{bad} training rows with a null feature or target")
+    return pipeline(features, estimator).fit(train.repartition(partitions, *keys).sortWithinPartitions(*keys))
 
 
 def score(model: PipelineModel, df: DataFrame, keys=("familia", "week_start")) -> DataFrame:
-    """M6/M7: predictions for all rows (keys, actual, predicted)."""
+    """M6/M7: one row for each row (keys, actual, predicted); the prediction is null where a feature is null."""
     needed = model.stages[2].getInputCols()[:-1]
     missing = [c for c in needed if c not in df.columns]
     if missing:  # model feature names must be present (reference's assertion)
@@ -115,7 +119,8 @@ def score(model: PipelineModel, df: DataFrame, keys=("familia", "week_start")) -
     out = model.transform(df)
     actual = [F.col("target").cast("double").alias("actual")] if "target" in df.columns else []
     extra = [c for c in ("role", "fold") if c in df.columns]
-    return out.select(*keys, *extra, *actual, F.col("prediction").alias("predicted"))
+    known = F.least(*[F.col(c).isNotNull().cast("int") for c in needed], F.lit(1)) == 1
+    return out.select(*keys, *extra, *actual, F.when(known, F.col("prediction")).alias("predicted"))
 
 
 def train_evaluate(train: DataFrame, test: DataFrame, estimator, features=None, by=("familia",)) -> DataFrame:
@@ -127,9 +132,9 @@ def train_evaluate(train: DataFrame, test: DataFrame, estimator, features=None,
 
 def bakeoff(train: DataFrame, test: DataFrame, kinds=BAKEOFF, features=None) -> DataFrame:
     """M3: every model on the same split; one error row per (model, family)."""
-    tables = []
+    tables, rows = [], train.count()
     for kind in kinds:
-        model = fit(train, regressor(kind), features)
+        model = fit(train, regressor(kind, rows), features)
         preds = score(model, test).withColumn("model", F.lit(kind))
         tables.append(preds)
     preds = tables[0]
@@ -159,6 +164,7 @@ def grid_search(folds: DataFrame, grid: dict = REFERENCE_GRID, features=None, ki
         part = folds.where(F.col("fold") == fold)
         train, test = part.where(F.col("role") == "train"), part.where(F.col("role") == "test")
         pipe = pipeline(features, base)
+        train = train.repartition(TRAIN_PARTITIONS, "familia", "week_start").sortWithinPartitions("familia", "week_start")
         maps = [{getattr(base, k): v for k, v in combo.items()} for combo in combos]
         for idx, model in pipe.fitMultiple(train, maps):
             mae = evaluate.error_metrics(score(model, test), []).first()["mae"]
@@ -197,22 +203,24 @@ def random_search(
     return train.sparkSession.createDataFrame(trials, "trial int, params string, mae double").orderBy("mae", "trial")
 
 
-def permutation_importance(model: PipelineModel, df: DataFrame, features=None, family_col: str = "familia", order_col: str = "week_start") -> DataFrame:
+def permutation_importance(model: PipelineModel, df: DataFrame, features=None, family_col: str = "familia", order_col: str = "week_start", predict=None) -> DataFrame:
     """MAE increase when one feature is permuted.
 
     The permutation is a fixed derangement inside each family: row i takes
-    the value of row (i + ⌊n/2⌋ + 1) mod n, joined on (family, position).
+    the value of row (i + max(1, ⌊n/2⌋)) mod n, joined on (family, position).
+    ``predict`` gives (keys, actual, predicted) of a frame; by default the model does.
     """
+    predict = predict or (lambda rows: score(model, rows))
     features = features or model.stages[2].getInputCols()[:-1]
     w = Window.partitionBy(family_col).orderBy(order_col)
     base = df.withColumns({"_pos": F.row_number().over(w) - 1, "_n": F.count(F.lit(1)).over(Window.partitionBy(family_col))})
-    base_mae = evaluate.error_metrics(score(model, df), []).select(F.col("mae").alias("base_mae"))
+    base_mae = evaluate.error_metrics(predict(df), []).select(F.col("mae").alias("base_mae"))
     out = []
     for f in features:
         donor = base.select(family_col, F.col("_pos").alias("_src"), F.col(f).alias("_perm"))
-        shifted = base.withColumn("_src", (F.col("_pos") + F.floor(F.col("_n") / 2) + 1) % F.col("_n"))
+        shifted = base.withColumn("_src", (F.col("_pos") + F.greatest(F.lit(1), F.floor(F.col("_n") / 2))) % F.col("_n"))
         permuted = shifted.join(donor, [family_col, "_src"]).withColumn(f, F.col("_perm")).drop("_perm", "_src", "_pos", "_n")
-        mae = evaluate.error_metrics(score(model, permuted), []).select(F.lit(f).alias("feature"), F.col("mae").alias("permuted_mae"))
+        mae = evaluate.error_metrics(predict(permuted), []).select(F.lit(f).alias("feature"), F.col("mae").alias("permuted_mae"))
         out.append(mae)
     res = out[0]
     for m in out[1:]:

@@ -271,19 +271,19 @@ def null_cell_ratio(cols) -> F.Column:
 
 def volume_quality_trend(df: DataFrame, week_col: str = "week_start", last: int = 30) -> DataFrame:
     """Rows and quality (1 − null cells / cells) per week; the last ``last`` weeks, ascending."""
-    cols = [c for c in df.columns if c != week_col]
+    cols = df.columns  # every column counts, the week too
     per_week = df.groupBy(week_col).agg(
         F.count(F.lit(1)).cast("bigint").alias("volume"),
         F.sum(null_cell_ratio(cols)).cast("bigint").alias("_nulls"),
     )
     q = F.lit(1.0) - F.col("_nulls") / (F.col("volume") * F.lit(len(cols))).cast("double")
     # the last-N report is a top-k: the limit is the feature
-    return per_week.orderBy(F.desc(week_col)).limit(last).select(week_col, "volume", q.alias("quality_score"))
+    return per_week.orderBy(F.desc(week_col)).limit(last).select(week_col, "volume", q.alias("quality_score")).orderBy(week_col)
 
 
 def quality_score(df: DataFrame, week_col: str = "week_start") -> DataFrame:
     """One row — rows, null cells, cells, clamped quality score and last week."""
-    cols = [c for c in df.columns if c != week_col]
+    cols = df.columns  # every column counts, the week too
     out = df.agg(
         F.count(F.lit(1)).cast("bigint").alias("n_rows"),
         F.sum(null_cell_ratio(cols)).cast("bigint").alias("null_cells"),
@@ -299,7 +299,7 @@ def quality_score(df: DataFrame, week_col: str = "week_start") -> DataFrame:
 
 def run_trend(runs: DataFrame, created_col: str = "created", name_col: str = "run_name", last: int = 30) -> DataFrame:
     """The last ``last`` runs by creation (ties by name), returned oldest first."""
-    return runs.orderBy(F.desc(created_col), F.desc(name_col)).limit(last)
+    return runs.orderBy(F.desc(created_col), F.desc(name_col)).limit(last).orderBy(created_col, name_col)
 
 
 def latest_run(runs: DataFrame, created_col: str = "created", name_col: str = "run_name") -> DataFrame:

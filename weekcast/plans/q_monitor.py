@@ -212,13 +212,13 @@ def box_summary(spark, sf_dir):
 QUALITY_SRC_SQL = f"""{q.SALES_LINES}, {q.sales_dirty(False)},
 qsrc as (select {q.monday('fecha')} as week_start, fecha, n_factura, producto, familia, cantidad, base_imponible, tipo_iva, total
          from sales_dirty)"""
-QUALITY_COLS = ("fecha", "n_factura", "producto", "familia", "cantidad", "base_imponible", "tipo_iva", "total")
+QUALITY_COLS = ("week_start", "fecha", "n_factura", "producto", "familia", "cantidad", "base_imponible", "tipo_iva", "total")
 NULLS_SQL = " + ".join(f"cast({c} is null as integer)" for c in QUALITY_COLS)
 
 
 def _quality_src(spark, sf_dir):
     d = views.sales_dirty(spark, sf_dir)
-    return d.select(cal.week_monday("fecha").alias("week_start"), *QUALITY_COLS)
+    return d.select(cal.week_monday("fecha").alias("week_start"), *QUALITY_COLS[1:])
 
 
 @query(

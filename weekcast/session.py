@@ -38,8 +38,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
     The value configured on the session (``spark.checkpoint.dir``) wins; a
-    scratch folder is only created when nothing is configured, which is
-    the local-test case.
+    scratch folder is only created for a local master with nothing configured
+    (tests); a cluster without the setting is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -49,6 +49,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="weekcast-ckpt-", dir="/tmp")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

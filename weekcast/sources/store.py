@@ -27,8 +27,8 @@ def write_dated(df: DataFrame, path: str, run_date, partition_cols=("familia",),
     """Write one dated snapshot, partitioned by ``run_date`` and ``partition_cols``."""
     out = df.withColumn("run_date", F.lit(run_date).cast("date"))
     cols = ["run_date", *[c for c in partition_cols if c in df.columns]]
-    # rows of one partition land together, so each task writes few files
-    out = out.repartition(*cols)
+    # rows of one partition land together, so each task writes few files; adaptive execution splits a large one
+    out = out.hint("rebalance", *cols)
     (
         out.write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
@@ -82,6 +82,26 @@ def upsert_latest(current: DataFrame, incoming: DataFrame, keys) -> DataFrame:
     return incoming.select(*cols).unionByName(kept.select(*cols))
 
 
+def latest_of(batch: DataFrame, keys, order_cols) -> DataFrame:
+    """Of the rows of a batch that repeat a key, the last in load order (a partial aggregate)."""
+    keys = list(keys)
+    rest = [c for c in batch.columns if c not in keys]
+    last = F.max_by(F.struct(*rest), F.struct(*order_cols))
+    return batch.groupBy(*keys).agg(last.alias("_r")).select(*keys, "_r.*").select(*batch.columns)
+
+
+def upsert_store(spark: SparkSession, path: str, batch: DataFrame, keys, run_date, order_cols=None) -> DataFrame:
+    """Write the store's next version — the newest snapshot with the batch's rows upserted — and read it back.
+
+    A batch that repeats keys needs ``order_cols`` (its load order).
+    """
+    schema = dated_schema(batch)
+    current = read_latest(spark, path, schema).drop("run_date")
+    incoming = latest_of(batch, keys, order_cols) if order_cols else batch
+    write_dated(upsert_latest(current, incoming, keys), path, run_date)
+    return read_latest(spark, path, schema).drop("run_date")
+
+
 def new_rows(incoming: DataFrame, stored: DataFrame, keys, week_col: str = "week_start") -> DataFrame:
     """Incoming rows whose key is not stored yet (anti join).
 

@@ -151,9 +151,11 @@ def read_typed_parquet(spark: SparkSession, path: str, date_cols=("fecha",)) ->
     return df.withColumns({c: F.to_date(F.col(c)) for c in date_cols if c in df.columns})
 
 
-def history_union(archive: DataFrame, live: DataFrame, cutoff, date_col: str = "fecha") -> DataFrame:
-    """Archive rows before ``cutoff`` ∪ live rows from ``cutoff``; by name, missing columns null."""
+def history_union(archive: DataFrame, live: DataFrame, cutoff, date_col: str = "fecha", cut_archive: bool = False) -> DataFrame:
+    """The whole archive ∪ live rows from ``cutoff``; by name, missing columns null.
+
+    ``cut_archive`` also drops archive rows on or after the cutoff and those without a date.
+    """
     c = F.lit(cutoff).cast("date")
-    return archive.where(F.col(date_col) < c).unionByName(
-        live.where(F.col(date_col) >= c), allowMissingColumns=True
-    )
+    old = archive.where(F.col(date_col) < c) if cut_archive else archive
+    return old.unionByName(live.where(F.col(date_col) >= c), allowMissingColumns=True)

@@ -87,10 +87,12 @@ def read_upserted(spark: SparkSession, path: str, keys) -> DataFrame:
 def upsert_batch(path: str, keys, only_new: bool = False, first_id: int = 0):
     """foreachBatch sink: write micro-batch ``b`` under ``batch_id=<first_id + b>``.
 
-    A retried micro-batch rewrites its own folder (overwrite), and readers
-    keep the newest row per key, so a retry never duplicates a key.
-    ``only_new`` (T2) first drops rows whose key is already stored (anti join),
-    so a replay of old data leaves the table unchanged.
+    A retried micro-batch of one run rewrites its own folder (overwrite); a
+    run that starts anew writes a later folder.  Readers keep the newest
+    row per key, so neither duplicates a key.
+    ``only_new`` (T2) first drops rows that are stored as they are (anti join
+    on all columns), so a replay of old data leaves the table unchanged and
+    a week that has grown since is replaced by its new totals.
     """
 
     def run(batch: DataFrame, batch_id: int) -> None:
@@ -102,8 +104,8 @@ def upsert_batch(path: str, keys, only_new: bool = False, first_id: int = 0):
                 return
             out = batch
             if only_new and _exists(spark, path):
-                # anti join against the stored keys of this batch's weeks only
-                out = new_rows(out, read_upserted(spark, path, keys).select(*keys), keys)
+                # anti join against the stored rows of this batch's weeks only
+                out = new_rows(out, read_upserted(spark, path, keys).select(*out.columns), out.columns)
             # week folders inside the batch folder: replay's week-range filter prunes them
             part = [k for k in keys if k == "week_start"]
             writer = out.write.mode("overwrite")
@@ -116,6 +118,14 @@ def upsert_batch(path: str, keys, only_new: bool = False, first_id: int = 0):
     return run
 
 
+def compact(spark: SparkSession, path: str, keys, target: str) -> str:
+    """Write the current state of the log as one batch of a new store at ``target`` (older batches are not copied)."""
+    part = [k for k in keys if k == "week_start"]
+    writer = read_upserted(spark, path, keys).write
+    (writer.partitionBy(*part) if part else writer).parquet(f"{target}/batch_id=0")
+    return target
+
+
 def next_batch_id(spark: SparkSession, path: str) -> int:
     """First free batch number of a store (0 for a new store)."""
     if not _exists(spark, path):
