@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from . import common, wordhash
 from .bm25 import BlockMaxIndex
@@ -121,6 +122,7 @@ def contaminated(
     spark = docs.sparkSession
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
     schema = f"doc_id {kinds[0]}, item_id {kinds[1]}, score double, question_overlap double, answer_overlap double"
+    arrow = to_arrow_type(items.schema[item_id].dataType)
     size = items.agg(F.sum(F.length(item_text))).first()[0] or 0
     shards = size // INDEX_CHARS + 1
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
@@ -136,7 +138,7 @@ def contaminated(
                     found = index.value.hits(texts[i:j], threshold, overlap)
                     if found:
                         at, item, score, q, a = zip(*found)
-                        columns = [ids.take(pa.array([i + x for x in at])), pa.array(item), pa.array(score), pa.array(q), pa.array(a)]
+                        columns = [ids.take(pa.array([i + x for x in at])), pa.array(item, arrow), pa.array(score), pa.array(q), pa.array(a)]
                         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
 
         hits = rows.mapInArrow(search, schema)
