@@ -53,3 +53,18 @@ def test_first_by_order(spark):
     df = spark.createDataFrame([(1, 3, "c"), (1, 2, "b"), (2, 9, "z")], "k int, o int, v string")
     got = {r.k: r.v for r in clean.first_by_order(df, ["k"], ["o"]).collect()}
     assert got == {1: "b", 2: "z"}
+
+
+def test_open_bound_drops_rows_without_a_date(spark):
+    import datetime
+
+    df = spark.createDataFrame([(datetime.date(2024, 1, 1),), (None,)], "fecha date")
+    assert clean.filter_date_range(df).count() == 1
+
+
+def test_epoch_outlier_becomes_null(spark):
+    from weekcast.functions import dates
+
+    df = spark.createDataFrame([(str(1_700_000_000 + i),) for i in range(5)] + [("1700000000000000000",)], "t string")
+    got = [r.t for r in dates.coerce_epoch(df, ["t"]).collect()]
+    assert sum(x is None for x in got) == 1 and got[0].year == 2023

@@ -84,3 +84,24 @@ def test_raw_iqr_equals_percentile(spark):
     a = {r.familia: (round(r.q1, 6), round(r.q3, 6)) for r in explore.iqr_bounds(daily).collect()}
     b = {r.familia: (round(r.q1, 6), round(r.q3, 6)) for r in explore.iqr_bounds(daily, raw=True).collect()}
     assert a == b
+
+
+def test_five_thousand_slices(spark):
+    df = spark.range(20_000).withColumn("v", (F.col("id") * 7919 % 20_011).cast("double"))
+    out = positional.with_slice(df, F.col("v"), n_slices=5000)
+    found = out.agg(F.min("_slice").alias("lo"), F.max("_slice").alias("hi"), F.countDistinct("_slice").alias("n")).first()
+    assert found.lo == 0 and found.n > 3000 and found.hi >= found.n - 1
+    ordered = [r._slice for r in out.orderBy("v").select("_slice").collect()]
+    assert ordered == sorted(ordered)
+
+
+def test_quality_counts_every_column(spark):
+    df = spark.createDataFrame([("2024-01-01", 1, None), ("2024-01-01", 2, 3)], "week_start string, a int, b int")
+    assert abs(monitor.volume_quality_trend(df).first().quality_score - (1 - 1 / 6)) < 1e-12
+
+
+def test_trends_are_oldest_first(spark):
+    df = spark.createDataFrame([(w, 1) for w in "bacd"], "week_start string, a int")
+    assert [r.week_start for r in monitor.volume_quality_trend(df, last=3).collect()] == ["b", "c", "d"]
+    runs = spark.createDataFrame([(i, f"r{i}") for i in (2, 0, 1)], "created int, run_name string")
+    assert [r.created for r in monitor.run_trend(runs, last=2).collect()] == [1, 2]

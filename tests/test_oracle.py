@@ -15,7 +15,10 @@ from weekcast.sources.tables import TABLES
 
 from conftest import SF_SMALL
 
-SKIP = {"stream_weekly", "stream_replay"}
+from test_plans import LEARNING, OWN
+
+#: Streams are checked in test_streaming, models on sf0.01, training-data queries in tests/llm.
+SKIP = {"stream_weekly", "stream_replay"} | LEARNING | OWN
 
 
 def _norm(v):

@@ -13,26 +13,11 @@ from weekcast.sources.tables import TABLES
 from conftest import SF_CHECK
 from test_oracle import _rows
 
-NAMES = [
-    "weekly_series",
-    "sales_to_weekly",
-    "feature_table",
-    "lags_calendar",
-    "next_week_features",
-    "asof_features",
-    "temporal_split",
-    "expanding_folds",
-    "baseline_metrics",
-    "forecast_correlation",
-    "run_trend",
-    "best_run",
-    "drift_all_features",
-    "series_stats",
-    "upsert_latest",
-    "incremental_new_weeks",
-    "week_reconcile",
-    "stream_weekly",
-]
+#: Every query over 7-day weeks, but for those that fit the tuned model (minutes).
+SLOW = {"grid_search", "random_search", "batch_score", "predict_latest", "weekly_prediction_job", "model_roundtrip", "linear_optimality"}
+NAMES = sorted(n for n, sql in entry.oracle_sql().items() if "dias_semana >= 7" in sql and n not in SLOW | {"stream_replay"})
+#: Empty on sf0.01 too.
+EMPTY: set[str] = set()
 
 
 @pytest.fixture(scope="module")
@@ -50,5 +35,6 @@ def test_weekly_queries_match_oracle_at_sf001(spark, duck_check, name):
     gc, gr = _rows(got)
     wc, wr = _rows(want)
     assert gc == wc
-    assert len(gr) == len(wr) > 0
+    assert len(gr) == len(wr)
+    assert gr or name in EMPTY
     assert gr == wr

@@ -44,3 +44,22 @@ def test_join_small_broadcasts_only_under_the_bound(spark):
     plan_over = join_small(big, small, "k", max_bytes=5)
     assert "Broadcast" in plan_small
     assert plan_over.count() == 1000 and join_small(big, small, "k").count() == 1000
+
+
+def test_upsert_store_keeps_the_last_loaded_row(spark, tmp_path):
+    path = str(tmp_path / "store")
+    schema = "familia string, week_start int, v int, loaded int"
+    store.write_dated(spark.createDataFrame([("a", 1, 1, 0), ("b", 1, 2, 0)], schema), path, "2024-01-01")
+    batch = spark.createDataFrame([("a", 1, 5, 1), ("a", 1, 6, 2), ("c", 1, 7, 1)], schema)
+    out = store.upsert_store(spark, path, batch, ["familia", "week_start"], "2024-01-08", order_cols=["loaded"])
+    assert sorted((r.familia, r.v) for r in out.collect()) == [("a", 6), ("b", 2), ("c", 7)]
+
+
+def test_history_union_keeps_the_whole_archive(spark):
+    import datetime
+
+    from weekcast.sources import tables
+
+    old = spark.createDataFrame([(datetime.date(2020, 1, 1),), (datetime.date(2024, 1, 1),), (None,)], "fecha date")
+    assert tables.history_union(old, old, "2023-01-01").count() == 4
+    assert tables.history_union(old, old, "2023-01-01", cut_archive=True).count() == 2

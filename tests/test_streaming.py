@@ -36,3 +36,15 @@ def test_incremental_weeks_and_late_events(spark, tmp_path):
     weekly.run_weekly_stream(spark, src, store, str(tmp_path / "ckpt2"), keys=KEYS, only_new=True)
     after = {r.week_start: float(r.total_value) for r in weekly.read_upserted(spark, store, KEYS).collect()}
     assert len(after) == before and after[dt.date(2024, 1, 8)] == 5.0
+
+
+def test_a_week_in_two_runs_keeps_both(spark, tmp_path):
+    src, store, ckpt = str(tmp_path / "src"), str(tmp_path / "store"), str(tmp_path / "ckpt")
+    mon = dt.datetime(2024, 1, 1)
+    for i, value in ((1, 1.0), (2, 10.0)):
+        _write(spark, src, [_ev(i, mon + dt.timedelta(hours=i), "a", value)])
+        weekly.run_weekly_stream(spark, src, store, ckpt, keys=KEYS, only_new=True)
+    rows = weekly.read_upserted(spark, store, KEYS).collect()
+    assert [(r.n_events, float(r.total_value)) for r in rows] == [(2, 11.0)]
+    small = weekly.compact(spark, store, KEYS, str(tmp_path / "compact"))
+    assert [(r.n_events, float(r.total_value)) for r in weekly.read_upserted(spark, small, KEYS).collect()] == [(2, 11.0)]
