@@ -61,7 +61,7 @@ def test_asof_picks_latest_week_on_or_before(spark):
         [("A", MON - dt.timedelta(days=1)), ("A", MON + dt.timedelta(days=9)), ("A", MON + dt.timedelta(days=40))],
         "familia string, fecha date",
     )
-    got = {r.fecha: r.f_base_imponible for r in features.asof_weekly(ents, wk).collect()}
+    got = {r.fecha: r.f_base_imponible for r in features.asof_weekly(ents, wk, available_after_days=0).collect()}
     assert got[MON - dt.timedelta(days=1)] is None
     assert got[MON + dt.timedelta(days=9)] == 10.0  # week 2 missing → week 1
     assert got[MON + dt.timedelta(days=40)] == 30.0

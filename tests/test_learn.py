@@ -62,7 +62,7 @@ def test_rows_with_a_null_feature_stay_without_a_prediction(spark):
     holed = train.withColumn("base_imponible_lag1", F.when(F.col("familia") != "ECONOMY", F.col("base_imponible_lag1")))
     out = learn.score(model, holed)
     assert out.count() == train.count()
-    assert out.where("predicted is null").count() == train.where("familia <> 'ECONOMY'").count()
+    assert out.where("predicted is null").count() == train.where("familia = 'ECONOMY'").count() > 0
     with pytest.raises(ValueError, match="null feature"):
         learn.fit(holed, learn.regressor("linear"))
 

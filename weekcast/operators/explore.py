@@ -171,6 +171,24 @@ def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     )
 
 
+def value_lists(df: DataFrame, fewer_than: int = 10) -> DataFrame:
+    """The values of each column with fewer than ``fewer_than`` distinct ones, with their counts (long format).
+
+    Distinct values per column are first bounded with HyperLogLog++ (one row
+    per column), so columns with very many values are left out before the
+    exact count; nulls are no value.
+    """
+    names = [c for c, _ in df.dtypes]
+    about = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in names]).first()  # one row
+    few = [c for c in names if about[c] < 2 * fewer_than]  # the estimate is off by a few percent at most
+    if not few:
+        few = names[:1]
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in few])
+    counts = df.select(F.explode(pairs).alias("_p")).select("_p.*").where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    kept = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") < fewer_than)
+    return counts.join(kept.select("column_name"), "column_name", "left_semi")
+
+
 def series_stats(series: DataFrame, value_col: str = "base_imponible", family_col: str = "familia", order_col: str = "week_start") -> DataFrame:
     """describe() per family — count, mean, sample std, min, quartiles, max, first/last period."""
     v = F.col(value_col).cast("double")

@@ -195,8 +195,12 @@ def asof_weekly(
     entity_date_col: str = "fecha",
     family_col: str = "familia",
     week_col: str = "week_start",
+    available_after_days: int = 7,
 ) -> DataFrame:
-    """Point-in-time join — each entity row gets the latest feature week ≤ its date.
+    """Point-in-time join — each entity row gets the latest feature week that was complete on its date.
+
+    A week's row sums its seven days, so it is known ``available_after_days``
+    after its Monday (0: as soon as the week starts, which looks ahead).
 
     Feature weeks start on Mondays, so "latest week_start ≤ date" equals the
     feature row valid on the Monday of the entity's week.  Each feature row
@@ -215,10 +219,11 @@ def asof_weekly(
     # dates after a family's last stored week take that last week
     last = weekly_features.groupBy(family_col).agg(F.max(week_col).alias("_last"))
     keyed = join_small(entities, last, family_col, "left").withColumn(
-        "_monday", F.least(cal.week_monday(entity_date_col), F.col("_last"))
+        "_monday", F.least(cal.week_monday(F.date_sub(entity_date_col, available_after_days)), F.col("_last"))
     ).drop("_last")
     feat_cols = [c for c in weekly_features.columns if c != family_col]
     renamed = expanded.select(
         family_col, "_monday", *[F.col(c).alias(f"f_{c}") for c in feat_cols]
     )
-    return keyed.join(renamed, [family_col, "_monday"], "left").drop("_monday")
+    # the feature side is bounded by weeks × families: the entity rows stay where they are
+    return join_small(keyed, renamed, [family_col, "_monday"], "left").drop("_monday")

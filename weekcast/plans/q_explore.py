@@ -249,6 +249,18 @@ def column_profile(spark, sf_dir):
     return explore.column_profile(_dirty(spark, sf_dir))
 
 
+def _values_sql():
+    parts = [f"select '{c}' as column_name, cast({c} as varchar) as value, count(*) as n from sales_dirty where {c} is not null group by {c}" for c in DIRTY_COLS]
+    return f"""with {DIRTY}, v as ({" union all ".join(parts)})
+select * from v where column_name in (select column_name from v group by column_name having count(*) < 10)"""
+
+
+@query("value_lists", _values_sql())
+def value_lists(spark, sf_dir):
+    """The values of every column with fewer than ten, with counts."""
+    return explore.value_lists(_dirty(spark, sf_dir))
+
+
 STATS_DIGITS = {"mean": 4, "std": 4, "q25": 6, "median": 6, "q75": 6}
 
 

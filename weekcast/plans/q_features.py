@@ -145,10 +145,10 @@ def lag_availability(spark, sf_dir):
 days as (select distinct fecha, familia from sales),
 wk as (select familia, week_start, base_imponible from weekly)
 select d.fecha, d.familia, w.week_start as f_week_start, w.base_imponible as f_base_imponible
-from days d asof left join wk w on d.familia = w.familia and d.fecha >= w.week_start""",
+from days d asof left join wk w on d.familia = w.familia and d.fecha >= w.week_start + 7""",
 )
 def asof_features(spark, sf_dir):
-    """Point-in-time lookup — for each sale day, the latest complete week starting on or before it."""
+    """Point-in-time lookup — for each sale day, the latest complete week that had ended before it."""
     days = views.sales(spark, sf_dir).select("fecha", "familia").distinct()
     wk = _weekly(spark, sf_dir).select("familia", "week_start", "base_imponible")
     return features.asof_weekly(days, wk)

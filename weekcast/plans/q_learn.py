@@ -210,6 +210,19 @@ def feature_importance_lag1(spark, sf_dir):
     return out.withColumns({c: F.round(c, 4) for c in ("permuted_mae", "base_mae", "mae_increase")})
 
 
+@query(
+    "builtin_importance",
+    f"select feature, true as in_range from (select unnest({[*LAG_COLS, *FLAGS]}) as feature)",
+)
+def builtin_importance(spark, sf_dir):
+    """Built-in importances of a small tree model by input name (each from 0 to 1, the previous weeks' in all over a half)."""
+    train, _, _ = _split(spark, sf_dir)
+    found = dict(learn.tree_importance(learn.fit(train, learn.regressor("gbt", maxIter=3, maxDepth=3))))
+    total = sum(found[c] for c in LAG_COLS)
+    rows = [(c, 0 <= v <= 1 and total > 0.5) for c, v in found.items()]  # one row per input
+    return spark.createDataFrame(rows, "feature string, in_range boolean")
+
+
 @query("baseline_vs_model")
 def baseline_vs_model(spark, sf_dir):
     """Test errors of the tuned model next to the naive lag-1 baseline, per family."""

@@ -31,16 +31,17 @@ def _homog(spark, sf_dir):
     return clean.homogenize(views.sales_dirty(spark, sf_dir), FIXTURE_FAMILIES, FIXTURE_REMAP)
 
 
-def _imputed(spark, sf_dir):
-    return clean.impute_family_month(
-        _homog(spark, sf_dir), DIRTY_MONTH, NEIGHBOURS, DIRTY_YEAR, cols=MONEY, method="mean_of_means"
-    )
+def _imputed(spark, sf_dir, method="mean_of_means"):
+    return clean.impute_family_month(_homog(spark, sf_dir), DIRTY_MONTH, NEIGHBOURS, DIRTY_YEAR, cols=MONEY, method=method)
 
 
-_IMPUTED_SQL = (
-    f"{q.sales_lines()}, {q.sales_dirty(False)}, {q.homogenized()}, "
-    + q.imputed("homog", {"base_imponible": 4, "tipo_iva": 2, "total": 6}, DIRTY_MONTH, NEIGHBOURS, DIRTY_YEAR)
-)
+def _imputed_sql(method="mean_of_means"):
+    scales = {"base_imponible": 4, "tipo_iva": 2, "total": 6}
+    steps = q.imputed("homog", scales, DIRTY_MONTH, NEIGHBOURS, DIRTY_YEAR, method=method)
+    return f"{q.sales_lines()}, {q.sales_dirty(False)}, {q.homogenized()}, {steps}"
+
+
+_IMPUTED_SQL = _imputed_sql()
 
 
 # ---------------------------------------------------------------- roll-ups
@@ -358,6 +359,26 @@ def impute_family_month(spark, sf_dir):
     return _money_double(_imputed(spark, sf_dir).select("fecha", "n_factura", "familia", *MONEY, "is_imputed"))
 
 
+@query(
+    "impute_pooled",
+    f"""with {_imputed_sql("pooled")}
+select fecha, n_factura, familia, {_money_sql()}, is_imputed from imputed""",
+)
+def impute_pooled(spark, sf_dir):
+    """C3 pooled: one mean over all rows of the neighbour months, then the year mean."""
+    return _money_double(_imputed(spark, sf_dir, "pooled").select("fecha", "n_factura", "familia", *MONEY, "is_imputed"))
+
+
+@query(
+    "impute_sequential",
+    f"""with {_imputed_sql("sequential")}
+select fecha, n_factura, familia, {_money_sql()}, is_imputed from imputed""",
+)
+def impute_sequential(spark, sf_dir):
+    """C3 sequential: the first neighbour month with a mean wins, then the year mean."""
+    return _money_double(_imputed(spark, sf_dir, "sequential").select("fecha", "n_factura", "familia", *MONEY, "is_imputed"))
+
+
 @query(
     "first_per_key",
     f"""with {q.sales_lines()}

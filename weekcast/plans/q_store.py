@@ -76,6 +76,23 @@ def upsert_latest(spark, sf_dir):
     return store.upsert_latest(old, new, KEYS)
 
 
+@query(
+    "upsert_store",
+    f"""with {STORE_SQL}
+select * from store_new
+union all
+select * from store_old o where not exists (select 1 from store_new n where n.familia = o.familia and n.week_start = o.week_start)""",
+)
+def upsert_store(spark, sf_dir):
+    """A batch that repeats every key is deduplicated by load order, upserted, written as the next version and read back."""
+    old, new = _stores(spark, sf_dir)
+    path = store.new_location(spark, "keyed")
+    store.write_dated(old, path, "2001-10-29")
+    twice = new.withColumn("base_imponible", F.col("base_imponible") * 0).withColumn("load", F.lit(1)).union(new.withColumn("load", F.lit(2)))
+    batch = store.latest_of(twice, KEYS, ["load"]).drop("load")
+    return store.upsert_store(spark, path, batch, KEYS, "2001-11-05")
+
+
 @query(
     "incremental_new_weeks",
     f"""with {STORE_SQL}

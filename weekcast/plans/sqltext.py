@@ -156,8 +156,8 @@ def half_up(n: str, d: str) -> str:
     return f"(case when ({n}) < 0 then -((2 * abs({n}) + ({d})) // (2 * ({d}))) else (2 * ({n}) + ({d})) // (2 * ({d})) end)"
 
 
-def imputed(src: str, cols: dict, target: str, months: tuple, year: int, name: str = "imputed") -> str:
-    """C3 mean-of-means imputation with exact half-up rounding (two neighbour months)."""
+def imputed(src: str, cols: dict, target: str, months: tuple, year: int, name: str = "imputed", method: str = "mean_of_means") -> str:
+    """C3 imputation with exact half-up rounding (two neighbour months): mean of means, pooled or sequential."""
     m0, m1 = months
     mo = "date_trunc('month', fecha)"
     aggs = []
@@ -180,6 +180,10 @@ def imputed(src: str, cols: dict, target: str, months: tuple, year: int, name: s
         m = f"(cast(n0_{c} > 0 as integer) + cast(n1_{c} > 0 as integer))"
         big_d = f"(cast({m} as hugeint) * {f0} * {f1})"
         step1 = f"(case when {m} > 0 then {half_up(big_n, big_d)} end)"
+        if method == "pooled":
+            step1 = f"(case when n0_{c} + n1_{c} > 0 then {half_up(f'(coalesce(u0_{c}, 0) + coalesce(u1_{c}, 0))', f'(n0_{c} + n1_{c})')} end)"
+        elif method == "sequential":
+            step1 = f"(case when n0_{c} > 0 then {half_up(f'u0_{c}', f'n0_{c}')} when n1_{c} > 0 then {half_up(f'u1_{c}', f'n1_{c}')} end)"
         kk = f"(case when {step1} is not null then k_{c} else 0 end)"
         yn = f"(coalesce(uy_{c}, 0) + coalesce({step1}, 0) * {kk})"
         yd = f"(ny_{c} + {kk})"
