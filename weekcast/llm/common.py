@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from weekcast.session import ensure_checkpoint_dir, shared_path
 
 #: Text characters that one numpy pass of a Python task holds at once (a longer text is a pass of its own).
-BATCH_CHARS = 2_000_000
+BATCH_CHARS = 1_000_000
 
 
 _shipped: set[str] = set()
