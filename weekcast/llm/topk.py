@@ -12,6 +12,8 @@ block-max WAND a query's summed block maxima bound what a block can hold:
 blocks are opened from the highest bound on, the k-th best score so far is
 the threshold, and a block whose bound is below it is never opened.  So the
 next block to open is the pivot, and its documents are scored together.
+All shards start from one threshold: a first pass opens each shard's best
+blocks, and the k-th best score of all of them is what any result must reach.
 
 *Merge.*  Impacts use the global document count, mean length and
 frequencies, so shard scores are final, and the best k of all shards' best k are exact.
@@ -30,12 +32,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 from . import common, wordhash
 from .bm25 import B, K1, idf
 
-BLOCK = 16
+BLOCK = 4
 SHARD_DOCS = 16_384
 SHARD_WORDS = 4_000_000
 QUERIES_AT_ONCE = 4096
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """The numbers from lo to hi - 1 of each pair, one after the other."""
+    n = hi - lo
+    return np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
+
+
 class Shard:
     """Postings of the words in ``terms`` (sorted hashes, with their idf) over some documents."""
 
@@ -63,42 +71,53 @@ class Shard:
         if len(new):
             np.maximum.at(self.term_most, tid[new], self.entry_most)
 
-    def search(self, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(documents, scores) of the best ``k`` for a query of term numbers; ties by id; only scores above 0."""
+    def search(self, query: np.ndarray, k: int, floor: float = -np.inf, first_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """(documents, scores) of the best ``k`` for a query of term numbers; ties by id; only scores above 0.
+
+        ``floor``: a score that at least ``k`` documents of all shards are
+        known to reach.  ``first_only`` opens the blocks with the highest
+        bounds alone: scores of real documents, so their k-th best is such a floor.
+        """
         lo, hi = self.term_at[query], self.term_at[query + 1]
         some = hi > lo
         query, lo, hi = query[some], lo[some], hi[some]
         if not len(query):
             return self.ids[:0], np.zeros(0)
-        size = hi - lo
-        entry = np.repeat(lo - np.concatenate([[0], np.cumsum(size)[:-1]]), size) + np.arange(size.sum())
-        bound = np.bincount(self.entry_block[entry], self.entry_most[entry], minlength=self.blocks)
-        order = np.argsort(-bound, kind="stable")
+        entry = _ranges(lo, hi)
+        if self.term_most[query].sum() * (1 + 1e-9) < floor:  # no document of this shard can reach it
+            return self.ids[:0], np.zeros(0)
+        entry_block = self.entry_block[entry]
+        bound = np.bincount(entry_block, self.entry_most[entry], minlength=self.blocks)
         slack = 1e-9 * max(1.0, bound.max())
+        may = np.flatnonzero(bound >= floor - slack)
+        order = may[np.argsort(-bound[may], kind="stable")]
         found, score = np.zeros(0, np.int64), np.zeros(0)
-        at, step, least = 0, max(2, 2 * k // BLOCK), -np.inf
+        at, step, least = 0, max(2, 2 * k // BLOCK) if floor == -np.inf else 64, floor
         while at < len(order) and bound[order[at]] > 0 and bound[order[at]] >= least - slack:
             upto = min(len(order), at + step)
             while upto > at and bound[order[upto - 1]] < least - slack:
                 upto -= 1
-            got, value = self._open(entry, order[at:upto], least - slack)
+            if upto == at:
+                break
+            got, value = self._open(entry, entry_block, order[at:upto], least - slack)
             found, score = np.concatenate([found, got]), np.concatenate([score, value])
             if len(found) > k:
                 best = np.lexsort((self.ids[found], -score))[:k]
                 found, score = found[best], score[best]
-            least = score.min() if len(found) >= k else -np.inf
+            if first_only:
+                break
+            least = max(floor, score.min()) if len(found) >= k else floor
             at, step = upto, min(4 * step, 256)
         best = np.lexsort((self.ids[found], -score))[:k]
         return self.ids[found[best]], score[best]
 
-    def _open(self, entry: np.ndarray, blocks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    def _open(self, entry: np.ndarray, entry_block: np.ndarray, blocks: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
         """(documents, scores) of some blocks' documents that may reach ``least``."""
         inside = np.zeros(self.blocks, bool)
         inside[blocks] = True
-        own = entry[inside[self.entry_block[entry]]]
-        lo, n = self.entry_at[own], self.entry_at[own + 1] - self.entry_at[own]
-        post = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-        slot = np.full(self.blocks, -1)
+        own = entry[inside[entry_block]]
+        post = _ranges(self.entry_at[own], self.entry_at[own + 1])
+        slot = np.zeros(self.blocks, np.int64)
         slot[blocks] = np.arange(len(blocks))
         doc = self.doc[post]
         local = slot[doc // BLOCK] * BLOCK + doc % BLOCK
@@ -167,14 +186,20 @@ def search(found: DataFrame, queries: DataFrame, k: int = 10, at_once: int = QUE
         df[np.asarray(got["t"])] = np.asarray(got["n"])
         weight = spark.sparkContext.broadcast(idf(df, n))
 
-        hits = found.mapInArrow(_searcher(shared, weight, mean, k, arrow), f"query_id {kinds[1]}, doc_id {kinds[0]}, score double")
+        schema = f"query_id {kinds[1]}, doc_id {kinds[0]}, score double"
+        # a floor for each query: the k-th best of what every shard's best blocks hold (k rows of a shard)
+        early = found.mapInArrow(_searcher(shared, weight, None, mean, k, arrow), schema).groupBy("query_id")
+        kth = early.agg(F.get(F.sort_array(F.collect_list("score"), asc=False), F.lit(k - 1)).alias("s"))
+        known = {r["query_id"]: r["s"] for r in kth.where("s is not null").collect()}  # a number for each of the block's queries
+        floors = spark.sparkContext.broadcast([known.get(name, -np.inf) for name in names])
+        hits = found.mapInArrow(_searcher(shared, weight, floors, mean, k, arrow), schema)
         best = hits if best is None else best.union(hits)
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))  # k rows of each shard
     return best.withColumn("score", F.round("score", 6)).withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
 
-def _searcher(shared, weight, mean: float, k: int, kinds: list):
-    """The function that answers a block of queries on one shard."""
+def _searcher(shared, weight, floors, mean: float, k: int, kinds: list):
+    """The function that answers a block of queries on one shard; without ``floors``, from each query's best blocks alone."""
 
     def answers(ids: list, parts: list[pa.RecordBatch]) -> pa.RecordBatch:
         terms, names, lists = shared.value
@@ -183,8 +208,8 @@ def _searcher(shared, weight, mean: float, k: int, kinds: list):
         length = np.concatenate([np.asarray(p.column(3)) for p in parts]).astype(float)
         shard = Shard(np.asarray(ids), words, counts, length, terms, weight.value, mean)
         out: list[list] = [[], [], []]
-        for name, own in zip(names, lists):
-            found, score = shard.search(own, k)
+        for name, own, floor in zip(names, lists, floors.value if floors else [-np.inf] * len(names)):
+            found, score = shard.search(own, k, floor, first_only=floors is None)
             out[0] += [name] * len(found)
             out[1] += found.tolist()
             out[2] += score.tolist()
