@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -40,7 +41,7 @@ ENCODINGS = {
 COLUMNS = "doc_id {}, n_tokens bigint, ids array<int>, shard int, row bigint"
 #: Words that a task remembers; beyond that it starts anew.
 WORDS_KEPT = 700_000
-_PLAIN = re.compile("(\n?)( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!]*)")
+_PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!]*)")
 
 
 class _Odd(Exception):
@@ -69,42 +70,49 @@ class Encoder(dict):
     def by_library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def __missing__(self, word: str) -> bytes:
-        if m := _PLAIN.fullmatch(word):  # pre-tokens: a line end, a word of letters with its blank, punctuation
-            line, bare, end = m.groups()
-            out = b""
-            for part in (line, end):
-                if part and part not in self.ends:
-                    self.ends[part] = self.by_library(part)
+    def __missing__(self, key: str) -> bytes:
+        """A bare key is a word with the blank before it, "\\n..." one after a line end, " ..." the first of a text."""
+        if not key:
+            raise _Odd
+        line, bare = ("\n", key[1:]) if key[0] == "\n" else ("", key[1:] if key[0] == " " else " " + key)
+        if m := _PLAIN.fullmatch(bare):  # pre-tokens: a word of letters with its blank, then punctuation
+            word, end = m.groups()
             if end or line:
-                out = self.ends.get(line, b"") + self[bare] + self.ends.get(end, b"")
+                out = self.part(line) + self[word[1:] if word[0] == " " else " " + word] + self.part(end)
             else:
-                seen = bare.encode().decode("latin-1").translate(self.letters)
+                seen = word.encode().decode("latin-1").translate(self.letters)
                 out = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
         else:
-            bare = word[1:] if word[0] in " \n" else word
-            if bare and bare.split() != [bare]:
+            own = bare.lstrip(" ")
+            if own and own.split() != [own]:
                 raise _Odd
-            out = self.by_library(word)
-        self[word] = out
+            out = self.by_library(line + bare)
+        self[key] = out
         return out
 
+    def part(self, text: str) -> bytes:
+        """A line end, or punctuation."""
+        if text and text not in self.ends:
+            self.ends[text] = self.by_library(text)
+        return self.ends.get(text, b"")
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
         if len(self) > WORDS_KEPT:
             self.clear()
-        look = self.__getitem__
-        lines, out = text.split("\n"), []
+        look, out = self.__getitem__, []
+        lines = text.split("\n")
         try:
             for i, line in enumerate(lines):
-                words = line.split(" ")
-                if "" in words[1:] or (i < len(lines) - 1 and not words[-1]) or (i == len(lines) - 1 and i and not words[-1]):
+                if not line and len(lines) > 1:
                     raise _Odd
+                words = line.split(" ")
+                first = words.pop(0)
                 if i:
-                    out.append(look("\n" + words[0]))
-                elif words[0]:
-                    out.append(look(words[0]))
-                out += [look(" " + w) for w in words[1:]]
+                    out.append(look("\n" + first))
+                elif first:
+                    out.append(look(" " + first))
+                out.extend(map(look, words))
         except _Odd:
             return self.by_library(text)
         return b"".join(out)
@@ -137,7 +145,7 @@ def write(
         end, shard, row = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
-            sizes = [len(t) for t in texts.cast(pa.binary()).to_pylist()] if len(texts) else []
+            sizes = pc.binary_length(texts).to_pylist()
             for i, j in common.by_size(sizes):
                 found = [encoder.encode(t) + end for t in texts.slice(i, j - i).to_pylist()]
                 count = np.array([len(x) // 4 for x in found], np.int64)
