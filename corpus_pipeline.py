@@ -12,7 +12,7 @@ from weekcast.llm import common, decontaminate, lang_id, mixing, simhash, token_
 from weekcast.llm.queries import SHARES, tokenizer_path
 
 #: Texts in which no language reaches this share of the letters are rejected.
-LEAST_LANGUAGE_SHARE = 0.4
+LEAST_LANGUAGE_SHARE = 0.3
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
