@@ -79,6 +79,57 @@ def _value(x, y, chain):
     return n * passages.K - passages.GAP_COST * (b - passages.K - a + d - passages.K - c)
 
 
+def test_passages_between_own_words_and_with_changed_ends(spark, docs):
+    rnd = random.Random(14)
+    own = iter(range(10**6))
+    fresh = lambda n: [f"own{next(own)}" for _ in range(n)]
+    p, s, t, u = (sentence(rnd, n, "p").split() for n in (50, 15, 15, 54))
+    rows = [(i, " ".join(fresh(30) + p + fresh(20) + s + fresh(20) + t + fresh(30))) for i in (1, 2)]
+    rows.append((3, " ".join(fresh(70) + u + fresh(70))))
+    u[2], u[-3] = "changed", "altered"
+    rows.append((4, " ".join(fresh(60) + u + fresh(70))))
+    got = sorted(tuple(r) for r in passages.repeated(docs(rows)).collect())
+    assert got == [(2, 30, 50, 1, 30, 50, 50, 1.0), (4, 60, 54, 3, 70, 54, 52, 52 / 54)]
+
+
+def test_seeds_reach_passages_of_four_fifths(spark, docs):
+    rnd, rows = random.Random(16), []
+    for i in range(40):
+        p = sentence(rnd, 60, f"s{i}x").split()
+        rows.append((2 * i, sentence(rnd, 60, f"a{i}x") + " " + " ".join(p) + " " + sentence(rnd, 60, f"b{i}x")))
+        for at in rnd.sample(range(1, 59), 11):
+            p[at] = "changed"
+        rows.append((2 * i + 1, sentence(rnd, 60, f"c{i}x") + " " + " ".join(p) + " " + sentence(rnd, 60, f"d{i}x")))
+    got = {(r.doc_id, r.other_id) for r in passages.repeated(docs(rows)).collect()}
+    assert got == {(2 * i + 1, 2 * i) for i in range(40)}
+
+
+def test_sub_runs_of_an_alignment_against_brute_force():
+    rnd = random.Random(15)
+    for _ in range(200):
+        a = np.array([rnd.randrange(6) for _ in range(rnd.randint(0, 25))])
+        b = np.array([x if rnd.random() < 0.8 else rnd.randrange(6) for x in a[rnd.randint(0, 3) :]], int)
+        runs = passages.equal_runs(a, b)
+        assert sum(n for _, _, n in runs) == passages.aligned(a, b)
+        assert all((a[x : x + n] == b[y : y + n]).all() for x, y, n in runs)
+        assert all(x + n <= z and y + n <= w for (x, y, n), (z, w, _) in zip(runs, runs[1:]))
+        at = [(x + i, y + i) for x, y, n in runs for i in range(n)]
+        fits = [
+            (2 * (e - s + 1) - max(at[e][0] - at[s][0], at[e][1] - at[s][1]) - 1)
+            for s in range(len(at)) for e in range(s, len(at))
+            if at[e][0] - at[s][0] + 1 >= 8 and e - s + 1 >= 0.8 * (max(at[e][0] - at[s][0], at[e][1] - at[s][1]) + 1)
+        ]
+        got = [2 * n - max(w, z) for _, w, _, z, n in passages.sub_runs(runs, 8, 0.8)]
+        assert max(got, default=0) == max(fits, default=0)
+        if fits:
+            assert passages.may_hold(a, b, 8, 0.8)
+
+
+def test_a_passage_along_a_longer_one_is_left_out():
+    spans = [(10, 60, 10, 60), (0, 300, 0, 302), (100, 60, 240, 60), (290, 60, 292, 60)]
+    assert sorted(passages.outermost(spans)) == [1, 2, 3]
+
+
 def test_alignment_counts_equal_words():
     a = np.arange(40)
     b = np.delete(a, [5, 20])
