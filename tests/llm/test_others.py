@@ -125,6 +125,30 @@ def test_sub_runs_of_an_alignment_against_brute_force():
             assert passages.may_hold(a, b, 8, 0.8)
 
 
+def test_a_passage_whose_halves_have_other_first_places(spark, docs):
+    rnd = random.Random(17)
+    p = sentence(rnd, 60, "h").split()
+    own = lambda i, n: " ".join(f"own{i}x{j}x{n}" for j in range(n))
+    rows = [(1, own(1, 40) + " " + " ".join(p[:35]) + " " + own(1, 41)), (2, own(2, 40) + " " + " ".join(p[-35:]) + " " + own(2, 41))]
+    rows += [(i, own(i, 40) + " " + " ".join(p) + " " + own(i, 41)) for i in range(10, 21)]
+    got = sorted((r.doc_id, r.first_word, r.words, r.other_id) for r in passages.repeated(docs(rows)).collect())
+    assert got == [(i, 40, 60, 10) for i in range(11, 21)]
+
+
+def test_frequent_runs_take_all_runs_without_a_rare_seed():
+    rnd = np.random.default_rng(18)
+    for _ in range(50):
+        h = rnd.integers(1, 2**62, int(rnd.integers(1, 90))).astype(np.uint64)
+        seeds = passages.minimizers(h, np.zeros(len(h), int))[2]
+        often = seeds[rnd.random(len(seeds)) < 0.9]
+        got = set(passages.frequent_runs(len(h), seeds, often, 20).tolist())
+        for i in range(len(h) - 19):
+            inner = [s for s in seeds if i + passages.WINDOW - 1 <= s <= i + 20 - passages.K - passages.WINDOW + 1]
+            assert (i in got) == (set(inner) <= set(often))
+            # these seeds are the run's own, whatever stands around it
+            assert {s - i for s in inner} <= set(passages.minimizers(h[i : i + 20], np.zeros(20, int))[2].tolist())
+
+
 def test_a_passage_along_a_longer_one_is_left_out():
     spans = [(10, 60, 10, 60), (0, 300, 0, 302), (100, 60, 240, 60), (290, 60, 292, 60)]
     assert sorted(passages.outermost(spans)) == [1, 2, 3]
