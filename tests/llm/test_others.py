@@ -339,6 +339,15 @@ def test_mixing_meets_its_targets(spark, docs):
     assert np.allclose(r, [x.rate for x in out], atol=1e-6)
 
 
+def test_share_of_upper_case_letters_is_of_the_whole_text():
+    rnd = random.Random(19)
+    for n in (0, 1, 1999, 2000, 2001, 3000, 3999, 4000, 4001, 9000):
+        text = "".join(rnd.choice("aBcDe É\u01c5.") for _ in range(n))
+        dense = mixing.features([text], wordhash.word_characters())[2]
+        assert dense[0][3] == pytest.approx(sum(c.isupper() for c in text) / max(1, n))
+    assert mixing.features(["Ab" * 1500], wordhash.word_characters())[2][0][3] == 0.5
+
+
 def test_mixing_edge_cases(spark, docs):
     rows, labels = labelled(spark, 120)
     extra = [(900, None), (901, ""), (None, "alpha1 alpha2"), (902, "alpha1 " * 20_000), (0, rows[0][1])]

@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -40,12 +41,23 @@ def features(texts: list[str], is_word: np.ndarray) -> tuple[np.ndarray, np.ndar
         words = t.split()
         marks = t.translate(_DROPPED)
         dense[i] = (
-            1.0, np.log1p(n[i]) / 10, len(marks) / size, sum(map(str.isupper, t[:: max(1, size // 2000)])) / min(size, 2000),
+            1.0, np.log1p(n[i]) / 10, len(marks) / size, upper_case(t) / size,
             len(set(words)) / max(1, len(words)), len(set(t.split("\n"))) / (t.count("\n") + 1),
         )
     return (h >> np.uint64(64 - 15)).astype(np.int64), doc, dense
 
 
+@lru_cache(1)
+def _upper() -> np.ndarray:
+    """For each code point: is it an upper-case letter."""
+    return np.fromiter((chr(i).isupper() for i in range(0x110000)), bool, 0x110000)
+
+
+def upper_case(text: str) -> int:
+    """Upper-case letters of a whole text."""
+    return int(np.count_nonzero(_upper()[np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")]))
+
+
 #: Everything but plain punctuation marks is dropped when marks are counted: ASCII letters, digits and blanks.
 _DROPPED = {c: None for c in [*range(48, 58), *range(65, 91), *range(97, 123), 32, 10]}
 
