@@ -85,8 +85,8 @@ def judged(
     """One row for each row: page_id, host, path, rule, verdict, strict_hits, soft_hits, soft_weight.
 
     Null urls and urls without ``://`` have empty host and path, no rule
-    and no hits, and are allowed.  Hits are counted over whole urls of any length,
-    also where a rule decides.  Repeated rows are judged alike; other
+    and no hits, and are allowed.  Hits are counted over whole hosts and paths of any
+    length, not in the query string or fragment, also where a rule decides.  Repeated rows are judged alike; other
     columns are not read; a term that is both strict and soft is strict.
     """
     allow = {h + p: v for h, p, v in rules}
