@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from weekcast.operators import features, learn, split
 from weekcast.plans import views
 
-from conftest import SF_CHECK
+from given_core import SF_CHECK
 
 
 def _data(spark):

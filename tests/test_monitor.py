@@ -78,7 +78,7 @@ def test_raw_iqr_equals_percentile(spark):
     from weekcast.operators import explore
     from weekcast.plans import views
 
-    from conftest import SF_CHECK
+    from given_core import SF_CHECK
 
     daily = views.daily(spark, SF_CHECK)
     a = {r.familia: (round(r.q1, 6), round(r.q3, 6)) for r in explore.iqr_bounds(daily).collect()}

@@ -13,7 +13,7 @@ import pytest
 import __spark_entry__ as entry
 from weekcast.sources.tables import TABLES
 
-from conftest import SF_SMALL
+from given_core import SF_SMALL
 
 from test_plans import LEARNING, OWN
 

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as entry
 from weekcast.sources.tables import TABLES
 
-from conftest import SF_CHECK
+from given_core import SF_CHECK
 from test_oracle import _rows
 
 #: Every query over 7-day weeks, but for those that fit the tuned model (minutes).

@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry
 
-from conftest import SF_CHECK, SF_SMALL
+from given_core import SF_CHECK, SF_SMALL
 
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # sf0.001 has no complete week to fit a model on: these run on sf0.01
