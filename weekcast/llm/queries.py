@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_id, licenses, mixing, passages, simhash, token_files, topk, toxicity, url_filter
+from . import decontaminate, lang_id, licenses, line_dedup, mixing, passages, simhash, token_files, topk, toxicity, url_filter
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -67,5 +67,14 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lang_id.identify(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op6_topk, op7_url_filter, op8_mixing, op9_simhash, op10_language)}
-ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql()}
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduped(table(spark, sf_dir, "documents").select("doc_id", "text"), min_docs=10, min_chars=1)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_ALL = (
+    op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op6_topk, op7_url_filter, op8_mixing, op9_simhash, op10_language,
+    op11_line_dedup,
+)
+QUERIES: dict[str, QueryFn] = {f.__name__: f for f in _ALL}
+ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql(), "op11_line_dedup": line_dedup.sql()}
