@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, lang_id, licenses, line_dedup, mixing, passages, simhash, sliced, token_files, topk, toxicity, url_filter
+from . import conversations, decontaminate, lang_id, licenses, line_dedup, mixing, passages, simhash, sliced, token_files, topk, toxicity, url_filter
 from .common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -76,9 +76,14 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sliced.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations.damaged(table(spark, sf_dir, "conversations"))
+    return conversations.summary(conversations.repaired(rows, copies="copies"))
+
+
 _ALL = (
     op1_decontamination, op2_passages, op3_token_files, op4_toxicity, op5_licenses, op6_topk, op7_url_filter, op8_mixing, op9_simhash, op10_language,
-    op11_line_dedup, op12_ranked_search,
+    op11_line_dedup, op12_ranked_search, op13_conversation_repair,
 )
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in _ALL}
-ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql(), "op11_line_dedup": line_dedup.sql(), "op12_ranked_search": sliced.sql()}
+ORACLE: dict[str, str] = {"op7_url_filter": url_filter.sql(), "op11_line_dedup": line_dedup.sql(), "op12_ranked_search": sliced.sql(), "op13_conversation_repair": conversations.sql()}
