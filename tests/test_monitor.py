@@ -105,3 +105,36 @@ def test_trends_are_oldest_first(spark):
     assert [r.week_start for r in monitor.volume_quality_trend(df, last=3).collect()] == ["b", "c", "d"]
     runs = spark.createDataFrame([(i, f"r{i}") for i in (2, 0, 1)], "created int, run_name string")
     assert [r.created for r in monitor.run_trend(runs, last=2).collect()] == [1, 2]
+
+
+def test_exact_ks_equals_every_order(spark):
+    """All interleavings of two samples, for sizes up to 8."""
+    import itertools
+
+    def statistic(first, m, n):
+        i = j = worst = 0
+        for t in range(m + n):
+            i, j = (i + 1, j) if t in first else (i, j + 1)
+            worst = max(worst, abs(i * n - j * m))
+        return worst
+
+    rows, want = [], {}
+    for m, n in [(1, 1), (2, 5), (5, 2), (4, 4), (7, 3), (8, 8), (8, 5), (1, 8)]:
+        gaps = [statistic(set(c), m, n) for c in itertools.combinations(range(m + n), m)]
+        for gap in sorted({*gaps, 0}):
+            rows.append((gap, m, n))
+            want[gap, m, n] = sum(g >= gap for g in gaps) / len(gaps)
+    df = spark.createDataFrame(rows, "gap bigint, m bigint, n bigint")
+    for r in df.withColumn("p", monitor.ks_exact_pvalue(F.col("gap"), F.col("m"), F.col("n"))).collect():
+        assert abs(r.p - want[r.gap, r.m, r.n]) < 1e-12, r
+
+
+def test_exact_ks_up_to_the_limit_then_asymptotic(spark, monkeypatch):
+    monkeypatch.setattr(monitor, "KS_EXACT_MAX", 30)
+    rows = [("a", "baseline", float(i)) for i in range(30)] + [("a", "current", i + 7.5) for i in range(20)]
+    rows += [("b", "baseline", float(i)) for i in range(31)] + [("b", "current", i + 7.5) for i in range(20)]
+    rows += [("c", s, 1.0) for s in ("baseline", "current")]
+    got = {r.g: r for r in monitor.ks(spark.createDataFrame(rows, "g string, side string, value double"), ["g"], bounded=True).collect()}
+    assert got["a"].ks_p_value != got["a"].ks_p_asymptotic and abs(got["a"].ks_p_value - got["a"].ks_p_asymptotic) < 0.1
+    assert got["b"].ks_p_value == got["b"].ks_p_asymptotic
+    assert got["c"].ks_p_value == 1.0

@@ -24,6 +24,7 @@ BASELINE_SHARE = 0.7  # first 70 % of rows by position are the baseline
 MIN_SIDE_ROWS = 10
 ALERTS = (("high", 0.25, 0.01), ("medium", 0.1, 0.05))  # (level, psi above, p-value below)
 QUALITY_CLAMP = (0.8, 1.0)
+KS_EXACT_MAX = 10_000  # sizes up to which the two-sample p-value is exact (the reference library's switch)
 KS_TERMS = 40  # exp(-2·j²·z²) < 1e-30 for j ≥ 40 once z ≥ 0.15 (below 0.15 the p-value is 1)
 
 
@@ -140,13 +141,47 @@ def ks_pvalue(d, n1, n2, terms: int = KS_TERMS) -> F.Column:
     return F.when(z < 0.15, F.lit(1.0)).otherwise(p)
 
 
+def ks_exact_pvalue(gap, n1, n2) -> F.Column:
+    """Exact two-sided p-value: the share of all orders of both samples whose statistic reaches the observed one.
+
+    An order is a lattice path from (0, 0) to (n1, n2); it reaches the
+    statistic where |i·n2 − j·n1| ≥ ``gap`` (= statistic · n1 · n2, a whole
+    number).  A path drawn at random goes on to i + 1 with probability
+    (n1 − i) / (n1 + n2 − t) after t steps, so the mass that leaves the band
+    is added up step by step: no subtraction, no scaling.  Only the band's
+    cells are held (about 2·gap / (n1 + n2) of them).
+    """
+    m, n = n1.cast("bigint"), n2.cast("bigint")
+    total = m + n
+
+    def step(acc, t):
+        lo, f, left = acc["lo"], acc["f"], total - t
+        hi = lo + F.size(f) - 1
+        lo2 = F.greatest(F.floor(((t + 1) * m - gap) / total) + 1, t + 1 - n, F.lit(0).cast("bigint"))
+        hi2 = F.least(F.ceil(((t + 1) * m + gap) / total) - 1, m, t + 1)
+        cell = lambda i: F.coalesce(F.get(f, i), F.lit(0.0))
+        moved = F.transform(
+            F.sequence(lo2, hi2), lambda i: (cell((i - 1 - lo).cast("int")) * (m - i + 1) + cell((i - lo).cast("int")) * (n - t + i)) / left
+        )
+        up = F.when(hi + 1 > hi2, cell(F.size(f) - 1) * (m - hi) / left).otherwise(0.0)
+        down = F.when(lo < lo2, cell(F.lit(0)) * (n - t + lo) / left).otherwise(0.0)
+        return F.struct(lo2.alias("lo"), F.when(hi2 < lo2, F.array().cast("array<double>")).otherwise(moved).alias("f"), (acc["out"] + up + down).alias("out"))
+
+    begin = F.struct(F.lit(0).cast("bigint").alias("lo"), F.array(F.lit(1.0)).alias("f"), F.lit(0.0).alias("out"))
+    walked = F.aggregate(F.sequence(F.lit(0).cast("bigint"), total - 1), begin, step, lambda acc: acc["out"])
+    return F.when(gap == 0, F.lit(1.0)).otherwise(F.least(walked, F.lit(1.0)))
+
+
 def with_ks_z(df: DataFrame, d, n1, n2) -> DataFrame:
     en = (n1.cast("double") * n2.cast("double")) / (n1 + n2).cast("double")
     return df.withColumn("_z", F.sqrt(en) * d)
 
 
 def ks(sides: DataFrame, group_cols=(), bounded: bool = False) -> DataFrame:
-    """Two-sample KS statistic max|F_baseline − F_current| and its asymptotic p-value.
+    """Two-sample KS statistic max|F_baseline − F_current| and its p-value.
+
+    The p-value is exact while both sides have at most ``KS_EXACT_MAX``
+    values and the asymptotic one beyond (``ks_p_asymptotic`` has it always).
 
     ``bounded=True`` is for per-group series whose size does not grow with
     the raw data (weeks × families): the cumulative counts are then one
@@ -168,11 +203,16 @@ def ks(sides: DataFrame, group_cols=(), bounded: bool = False) -> DataFrame:
         joined = _attach(cum, sizes.drop("_g"), [])
     else:
         joined = join_small(cum, sizes, group_cols)
+    small = F.greatest("_nb", "_nc") <= KS_EXACT_MAX
+    whole = F.when(small, F.abs(F.col("cum_cb") * F.col("_nc") - F.col("cum_cc") * F.col("_nb")))
     out = joined.groupBy(*group_cols).agg(
-        F.max(gap).alias("ks_statistic"), F.max("_nb").alias("_nb"), F.max("_nc").alias("_nc")
+        F.max(gap).alias("ks_statistic"), F.max(whole).alias("_gap"), F.max("_nb").alias("_nb"), F.max("_nc").alias("_nc")
     )
     out = with_ks_z(out, F.col("ks_statistic"), F.col("_nb"), F.col("_nc"))
-    out = out.withColumn("ks_p_value", ks_pvalue(F.col("ks_statistic"), F.col("_nb"), F.col("_nc"))).drop("_nb", "_nc", "_z")
+    out = out.withColumn("ks_p_asymptotic", ks_pvalue(F.col("ks_statistic"), F.col("_nb"), F.col("_nc")))
+    both = small & (F.col("_nb") > 0) & (F.col("_nc") > 0)
+    exact = F.when(both, ks_exact_pvalue(F.col("_gap"), F.col("_nb"), F.col("_nc"))).otherwise(F.col("ks_p_asymptotic"))
+    out = out.withColumn("ks_p_value", exact).drop("_gap", "_nb", "_nc", "_z")
     return out.drop("_g") if synthetic else out
 
 
@@ -208,7 +248,7 @@ def drift_report(sides: DataFrame, group_cols=(), materialize: bool = True, boun
     )
     p1 = psi(sides, original, mode="independent")
     p2 = psi(sides, original, mode="shared").withColumnRenamed("psi", "psi_shared")
-    k = ks(sides, original, bounded=bounded)
+    k = ks(sides, original, bounded=bounded).drop("ks_p_asymptotic")
     if synthetic:  # one-row results: attach as scalars, not by a constant-key join
         out = _attach(side_stats.drop("_g"), p1, [])
         out = _attach(out, p2, [])

@@ -18,6 +18,14 @@ DIGITS = {
 }
 
 
+LONG_SIDES_SQL = """long as (select familia, week_start, feature, cast(value as double) as value from weekly
+         unpivot (value for feature in ({cols}))),
+fsides as (select feature, familia,
+                  case when row_number() over (partition by feature, familia order by week_start) - 1
+                            < floor(count(*) over (partition by feature, familia) * cast(0.7 as double)) then 'baseline' else 'current' end as side,
+                  value from long where value is not null)"""
+
+
 def _r(df, digits=DIGITS):
     return df.withColumns({c: F.round(c, d) for c, d in digits.items() if c in df.columns})
 
@@ -72,17 +80,35 @@ def _pvalue_sql(d, n1, n2, terms=monitor.KS_TERMS):
     return f"(case when {z} < 0.15 then 1.0 else least(greatest(2.0 * {total}, 0.0), 1.0) end)"
 
 
-def _ks_sql(src, g):
+def _exact_sql(g):
+    """Recursive CTE: the mass of random lattice paths that has left the band (columns of ``k0`` carried along)."""
+    hi2, lo2 = "least(cast(ceil(((t + 1) * m + gap) / (m + n)) as bigint) - 1, m, t + 1)", "greatest(cast(floor(((t + 1) * m - gap) / (m + n)) as bigint) + 1, t + 1 - n, 0)"
+    gb = f"{g}, " if g else ""
+    return f"""path as (select {gb}m, n, gap, 0::bigint as t, 0::bigint as lo, [1.0::double] as f, 0.0::double as left_band from k0 where gap > 0 and greatest(m, n) <= {monitor.KS_EXACT_MAX}
+union all
+select {gb}m, n, gap, t + 1, lo2,
+  case when hi2 < lo2 then [] else list_transform(range(lo2, hi2 + 1), lambda i: (coalesce(f[i - lo], 0.0) * (m - i + 1) + coalesce(f[i - lo + 1], 0.0) * (n - t + i)) / (m + n - t)) end,
+  left_band + case when lo + len(f) > hi2 then coalesce(f[len(f)], 0.0) * (m - (lo + len(f) - 1)) / (m + n - t) else 0.0 end
+            + case when lo < lo2 then coalesce(f[1], 0.0) * (n - t + lo) / (m + n - t) else 0.0 end
+from (select *, {lo2} as lo2, {hi2} as hi2 from path where t < m + n)),
+exact as (select {gb}least(left_band, 1.0) as p from path where t = m + n)"""
+
+
+def _ks_sql(src, g, more=""):
     gb = f"{g}, " if g else ""
     part = f"partition by {g}" if g else ""
     on = " and ".join(f"cu.{c} = sz.{c}" for c in g.split(", ")) if g else "true"
-    return f"""(with pv as (select {gb}value, count(case when side = 'baseline' then 1 end) as cb,
+    same = " and ".join(f"k0.{c} = exact.{c}" for c in g.split(", ")) if g else "true"
+    return f"""(with recursive pv as (select {gb}value, count(case when side = 'baseline' then 1 end) as cb,
                     count(case when side = 'current' then 1 end) as cc from {src} group by all),
 cu as (select {gb}sum(cb) over ({part} order by value) as ccb, sum(cc) over ({part} order by value) as ccc from pv),
 sz as (select {gb}sum(cb) as nb, sum(cc) as nc from pv {"group by " + g if g else ""}),
-k as (select {",".join(f"cu.{c}" for c in g.split(", ")) + "," if g else ""} max(abs(ccb / nb - ccc / nc)) as ks_statistic,
-             max(nb) as nb, max(nc) as nc from cu join sz on {on} {"group by " + ",".join(f"cu.{c}" for c in g.split(", ")) if g else ""})
-select {gb}ks_statistic, {_pvalue_sql("ks_statistic", "nb", "nc")} as ks_p_value from k)"""
+k0 as (select {",".join(f"cu.{c}" for c in g.split(", ")) + "," if g else ""} max(abs(ccb / nb - ccc / nc)) as ks_statistic,
+             cast(max(nb) as bigint) as m, cast(max(nc) as bigint) as n, cast(max(abs(ccb * nc - ccc * nb)) as bigint) as gap
+       from cu join sz on {on} {"group by " + ",".join(f"cu.{c}" for c in g.split(", ")) if g else ""}),
+{_exact_sql(g)},
+k1 as (select k0.*, exact.p, {_pvalue_sql("ks_statistic", "m", "n")} as asymptotic from k0 left join exact on {same})
+select {gb}ks_statistic, {more}case when least(m, n) = 0 or greatest(m, n) > {monitor.KS_EXACT_MAX} then asymptotic when gap = 0 then 1.0 else p end as ks_p_value from k1)"""
 
 
 def _report_sql(src, g):
@@ -136,8 +162,8 @@ def drift_psi(spark, sf_dir):
 select round(ks_statistic, 10) as ks_statistic, round(ks_p_value, 10) as ks_p_value from {_ks_sql("sides", "")}""",
 )
 def drift_ks(spark, sf_dir):
-    """Two-sample KS statistic and asymptotic p-value of ``events.value``."""
-    return _r(monitor.ks(_event_sides(spark, sf_dir)))
+    """Two-sample KS statistic and p-value (exact up to 10,000 values a side) of ``events.value``."""
+    return _r(monitor.ks(_event_sides(spark, sf_dir)).drop("ks_p_asymptotic"))
 
 
 @query("drift_report", f"with {EVENT_SIDES_SQL} " + _report_sql("sides", ""))
@@ -152,16 +178,29 @@ FEATURE_COLS = ("base_imponible", "is_summer_peak", "is_easter", "dias_semana")
 @query(
     "drift_all_features",
     f"""with {q.SALES_LINES}, {q.weekly(7)},
-long as (select familia, week_start, feature, cast(value as double) as value from weekly
-         unpivot (value for feature in ({", ".join(FEATURE_COLS)}))),
-fsides as (select feature, familia,
-                  case when row_number() over (partition by feature, familia order by week_start) - 1
-                            < floor(count(*) over (partition by feature, familia) * cast(0.7 as double)) then 'baseline' else 'current' end as side,
-                  value from long where value is not null)
+{LONG_SIDES_SQL.format(cols=", ".join(FEATURE_COLS))}
 {_report_sql("fsides", "feature, familia")}""",
 )
 def drift_all_features(spark, sf_dir):
     """P12 re-aimed: drift report for every numeric feature of every family's weekly series."""
+    # one row per family-week: bounded by weeks × families whatever the raw volume
+    return _r(monitor.drift_report(_feature_sides(spark, sf_dir), ["feature", "familia"], bounded=True))
+
+
+@query(
+    "drift_ks_exact",
+    f"""with {q.SALES_LINES}, {q.weekly(7)},
+{LONG_SIDES_SQL.format(cols=", ".join(FEATURE_COLS))}
+select feature, familia, round(ks_statistic, 10) as ks_statistic, round(ks_p_value, 10) as ks_p_value, round(asymptotic, 10) as ks_p_asymptotic
+from {_ks_sql("fsides", "feature, familia", more="asymptotic, ")}""",
+)
+def drift_ks_exact(spark, sf_dir):
+    """Exact p-value of every family's weekly series (a small sample) next to the asymptotic one."""
+    found = monitor.ks(_feature_sides(spark, sf_dir), ["feature", "familia"], bounded=True)
+    return _r(found, {**DIGITS, "ks_p_asymptotic": 10})
+
+
+def _feature_sides(spark, sf_dir):
     w = views.weekly(spark, sf_dir, 7)
     long = w.select(
         "familia",
@@ -170,9 +209,7 @@ def drift_all_features(spark, sf_dir):
             f"stack({len(FEATURE_COLS)}, " + ", ".join(f"'{c}', cast(`{c}` as double)" for c in FEATURE_COLS) + ") as (feature, value)"
         ),
     )
-    sides = monitor.split_sides_grouped(long, ["feature", "familia"], "week_start", "value")
-    # one row per family-week: bounded by weeks × families whatever the raw volume
-    return _r(monitor.drift_report(sides, ["feature", "familia"], bounded=True))
+    return monitor.split_sides_grouped(long, ["feature", "familia"], "week_start", "value")
 
 
 @query(
