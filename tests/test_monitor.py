@@ -138,3 +138,15 @@ def test_exact_ks_up_to_the_limit_then_asymptotic(spark, monkeypatch):
     assert got["a"].ks_p_value != got["a"].ks_p_asymptotic and abs(got["a"].ks_p_value - got["a"].ks_p_asymptotic) < 0.1
     assert got["b"].ks_p_value == got["b"].ks_p_asymptotic
     assert got["c"].ks_p_value == 1.0
+
+
+def test_slices_follow_the_rows_and_ties_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(positional, "ROWS_PER_SLICE", 500)
+    df = spark.range(10_000).select((F.when(F.col("id") % 3 == 0, 40).otherwise(F.col("id") % 97)).alias("ts"), (F.col("id") * 7919 % 10_007).alias("k"))
+    assert positional._n_slices(df, None) == 20
+    got = [(r.ts, r.k) for r in positional.global_position(df, ["ts", "k"]).orderBy("_pos").collect()]
+    assert got == sorted(got)
+    cut = positional._split_ties(positional.with_slice(df, F.col("ts").cast("double")), ["ts", "k"], None)
+    assert cut.groupBy("_slice").count().agg(F.max("count")).first()[0] < 1500  # 3,333 rows hold one value
+    small = positional.with_slice(spark.range(100).toDF("v"), F.col("v").cast("double"))
+    assert small.select("_slice").distinct().count() == 1

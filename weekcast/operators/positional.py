@@ -27,13 +27,14 @@ from .joins import join_small
 
 SLICE_ACCURACY = 10000
 
-
-#: Slices of a global order: each is one task's share of the rows, whatever the shuffle setting.
-N_SLICES = 64
+#: Rows that one task ranks or sums at once: the number of slices follows the data, whatever the shuffle setting.
+ROWS_PER_SLICE = 5_000_000
+MAX_SLICES = 100_000
 
 
 def _n_slices(df: DataFrame, n: int | None) -> int:
-    return int(n or N_SLICES)
+    """Slices of a global order: the caller's number, or one for every ``ROWS_PER_SLICE`` rows (so retries agree)."""
+    return int(n) if n else min(MAX_SLICES, max(1, -(-df.count() // ROWS_PER_SLICE)))
 
 
 def numeric_key(df: DataFrame, col: str) -> Column:
@@ -57,7 +58,7 @@ def with_slice(df: DataFrame, key: Column, n_slices: int | None = None, name: st
     """
     n = _n_slices(df, n_slices)
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
-    found = df.agg(F.percentile_approx(key, probs, SLICE_ACCURACY).alias("b")).first()["b"] if n > 1 else None
+    found = df.agg(F.percentile_approx(key, probs, max(SLICE_ACCURACY, 10 * n)).alias("b")).first()["b"] if n > 1 else None
     bounds = sorted({float(b) for b in (found or []) if b is not None})
     if not bounds:
         return df.withColumn(name, F.lit(0))
@@ -73,6 +74,43 @@ def with_slice(df: DataFrame, key: Column, n_slices: int | None = None, name: st
     return run.withColumn(name, slice_no.cast("int")).drop("_slice_key", "_slice_run")
 
 
+def _split_ties(sliced: DataFrame, order_cols: list[str], n_slices: int | None) -> DataFrame:
+    """Cut a slice that one value of the first order column fills by the second order column.
+
+    Such a slice begins with the value (it is a bound).  Its rows with that
+    value are dealt by quantiles of the second column, the others follow;
+    slice numbers stay in the order of the rows.  Few slices can be that
+    large: the bounds are pinned like those of the slices.
+    """
+    second = order_cols[1]
+    kind = dict(sliced.dtypes)[second]
+    sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("n")).collect()  # one row a slice
+    usual = max(1, sum(r.n for r in sizes) // n_slices) if n_slices else ROWS_PER_SLICE
+    large = {r["_slice"]: -(-r.n // usual) for r in sizes if r.n > 3 * usual}
+    if not large or not kind.startswith(("int", "bigint", "smallint", "tinyint", "double", "float", "decimal", "date", "timestamp")):
+        return sliced
+    first, key = numeric_key(sliced, order_cols[0]), numeric_key(sliced, second)
+    rows = sliced.where(F.col("_slice").isin(list(large)))
+    heavy = {r["_slice"]: r.v for r in rows.groupBy("_slice").agg(F.min(first).alias("v")).collect()}
+    n = max(large.values())
+    probs = F.array(*[F.lit(i / n) for i in range(1, n)])
+    tied = rows.where(F.col("_slice").isin(list(heavy)) & _equals(first, heavy))
+    bounds = {r["_slice"]: sorted({float(b) for b in r.b}) for r in tied.groupBy("_slice").agg(F.percentile_approx(key, probs, max(SLICE_ACCURACY, 10 * n)).alias("b")).collect() if r.b}
+    sub = F.lit(0)
+    for s, own in bounds.items():
+        inside = F.size(F.filter(F.array(*[F.lit(b) for b in own]), lambda b: b <= key))
+        sub = F.when(F.col("_slice") == s, F.when(first == heavy[s], inside).otherwise(len(own) + 1)).otherwise(sub)
+    return sliced.withColumn("_slice", F.col("_slice").cast("bigint") * (n + 2) + sub)
+
+
+def _equals(key: Column, by_slice: dict) -> Column:
+    out = F.lit(False)
+    for s, v in by_slice.items():
+        if v is not None:
+            out = out | ((F.col("_slice") == s) & (key == v))
+    return out
+
+
 def global_position(df: DataFrame, order_cols, n_slices: int | None = None, name: str = "_pos") -> DataFrame:
     """Add a 0-based position in ``order_cols`` order (a total order is assumed).
 
@@ -80,7 +118,10 @@ def global_position(df: DataFrame, order_cols, n_slices: int | None = None, name
     offsets are the cumulative slice sizes (a table with one row per slice).
     """
     order_cols = list(order_cols)
-    sliced = with_slice(df, numeric_key(df, order_cols[0]), n_slices)
+    n = _n_slices(df, n_slices)
+    sliced = with_slice(df, numeric_key(df, order_cols[0]), n)
+    if len(order_cols) > 1 and n > 1:
+        sliced = _split_ties(sliced, order_cols, n_slices)
     local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order_cols)) - 1
     sliced = sliced.withColumn("_local", local)
     sizes = sliced.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
