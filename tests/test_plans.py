@@ -9,10 +9,11 @@ from given_core import SF_CHECK, SF_SMALL
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin")
 # sf0.001 has no complete week to fit a model on: these run on sf0.01
 LEARNING = {"train_gbt", "model_bakeoff", "batch_score", "predict_latest", "weekly_prediction_job", "model_roundtrip", "feature_importance",
-            "baseline_vs_model", "linear_optimality", "grid_search", "random_search", "feature_importance_lag1", "builtin_importance"}
+            "baseline_vs_model", "linear_optimality", "grid_search", "random_search", "feature_importance_lag1", "builtin_importance",
+            "train_xgb", "xgb_root_gains", "prediction_checks", "shap_values", "shap_checks"}
 #: These fit the same models and score with the plan of ``batch_score``.
 SLOW = {"model_bakeoff", "train_gbt", "predict_latest", "weekly_prediction_job", "model_roundtrip", "feature_importance",
-        "baseline_vs_model", "grid_search", "random_search"}
+        "baseline_vs_model", "grid_search", "random_search", "train_xgb", "xgb_root_gains", "shap_values"}
 #: The training-data queries are checked in tests/llm.
 OWN = {n for n in entry.queries() if n.startswith("op") or n == "pipeline"}
 

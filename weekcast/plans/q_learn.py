@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, features, learn, split
+from ..operators import boost, evaluate, features, learn, split
 from ..sources import store
 from . import sqltext as q
 from . import views
@@ -19,9 +19,6 @@ LAGS = (1, 2, 3, 52)
 LAG_COLS = [f"base_imponible_lag{k}" for k in LAGS]
 FLAGS = ["is_summer_peak", "is_easter"]
 DIGITS = {"mae": 4, "mse": 0, "rmse": 4, "mape": 8, "mape_pct": 6, "r2": 8}
-#: Small search spaces of the registered searches; the operators take any.
-SMALL_GRID = {"maxIter": [4], "maxDepth": [2, 3]}
-SMALL_RANGES = {**learn.RANDOM_RANGES, "maxIter": (2, 4), "maxDepth": (2, 3)}
 
 WEEKLY = f"{q.SALES_LINES}, {q.weekly(7)}"
 SPLIT_SQL = f"""{WEEKLY}, {q.features(LAGS, 1)},
@@ -55,14 +52,51 @@ def _split(spark, sf_dir):
 
 
 def _tuned_model(train):
-    return learn.fit(train, learn.regressor("gbt", **learn.TUNED_GBT))
+    return boost.fit(train, boost.TUNED)
 
 
 @query("train_gbt")
 def train_gbt(spark, sf_dir):
-    """M2: tuned boosted trees, one model for all families; test errors per family."""
+    """M2 with ``pyspark.ml``: tuned boosted trees, one model for all families; test errors per family."""
     train, test, _ = _split(spark, sf_dir)
-    return _round(evaluate.error_metrics(learn.score(_tuned_model(train), test), ["familia"]))
+    model = learn.fit(train, learn.regressor("gbt", **learn.TUNED_GBT))
+    return _round(evaluate.error_metrics(learn.score(model, test), ["familia"]))
+
+
+@query("train_xgb")
+def train_xgb(spark, sf_dir):
+    """M2: the tuned booster with its L1/L2 penalties, row and column samples; test errors per family."""
+    train, test, _ = _split(spark, sf_dir)
+    return _round(evaluate.error_metrics(boost.score(_tuned_model(train), test), ["familia"]))
+
+
+ROOT_FEATURES = [*LAG_COLS, *FLAGS]
+
+
+@query(
+    "xgb_root_gains",
+    f"""with {SPLIT_SQL},
+tr as (select familia, cast(target as double) as y, {", ".join(f"cast({c} as double) as {c}" for c in ROOT_FEATURES)} from lsplit where role = 'train'),
+tot as (select avg(y) as base, count(*) as n, sum((y - (select avg(y) from tr)) * (y - (select avg(y) from tr))) as sse from tr),
+x as (select feature, v, y from tr unpivot (v for feature in ({", ".join(ROOT_FEATURES)}))),
+o as (select feature, v, row_number() over (partition by feature order by v) as k, count(*) over (partition by feature) as n from x),
+cut as (select distinct feature, v as threshold from o join (select unnest(range(0, {boost.MAX_BINS})) as i) on k = greatest(1, cast(ceil(i * n / {float(boost.MAX_BINS)}) as bigint))),
+side as (select c.feature, cast(null as varchar) as category, c.threshold, sum(t.base - x.y) filter (where x.v < c.threshold) as gl, count(*) filter (where x.v < c.threshold) as hl,
+           sum(t.base - x.y) as g, count(*) as h from cut c join x on x.feature = c.feature, tot t group by all
+  union all
+  select 'familia' as feature, f.familia as category, cast(null as double) as threshold, sum(t.base - tr.y) filter (where tr.familia = f.familia), count(*) filter (where tr.familia = f.familia), sum(t.base - tr.y), count(*)
+  from (select distinct familia from tr) f, tr, tot t group by all),
+gains as (select feature, category, threshold, {" ".join(f"{s} power(greatest(abs({g}) - {boost.TUNED.reg_alpha!r}, 0.0), 2) / ({h} + {boost.TUNED.reg_lambda!r})" for s, g, h in (("", "gl", "hl"), ("+", "(g - gl)", "(h - hl)"), ("-", "g", "h")))} as gain
+  from side where hl >= 1 and h - hl >= 1)
+select feature, category, round(threshold, 4) as threshold, round(gain / sse, 9) as gain_share from gains, tot""",
+)
+def xgb_root_gains(spark, sf_dir):
+    """M2: gain of every root split of the first tree (as a share of the squared error), from its histograms."""
+    train, _, _ = _split(spark, sf_dir)
+    found = boost.root_gains(train, boost.TUNED, ROOT_FEATURES)
+    y = F.col("target").cast("double")
+    sse = train.agg((F.var_pop(y) * F.count(F.lit(1))).alias("s")).scalar()
+    return found.select("feature", "category", F.round("threshold", 4).alias("threshold"), F.round(F.col("gain") / sse, 9).alias("gain_share"))
 
 
 @query("model_bakeoff")
@@ -98,85 +132,111 @@ def linear_optimality(spark, sf_dir):
     return out
 
 
-@query(
-    "grid_search",
-    f"""with {SPLIT_SQL},
-pos as (select count(*) over (partition by familia) as n from features),
-folds as (select count(distinct fold) as n_folds from pos, (select unnest(range(0, 5)) as fold) where floor(n / 6) > 0)
-select cast(position as integer) as position, n_folds, true as in_order
-from folds, (select unnest(range(0, {len(learn.param_grid(SMALL_GRID))})) as position)""",
-)
+@query("grid_search")
 def grid_search(spark, sf_dir):
-    """M4: every combination of a small grid over all rows and all five expanding folds, best first."""
+    """M4: all 72 combinations of the reference's grid over all rows and all five expanding folds, best first."""
     _, _, labelled = _split(spark, sf_dir)
-    found = learn.grid_search(split.expanding_folds(labelled.drop("role"), 5), SMALL_GRID).collect()  # one row per combination
-    errors = [r.mean_mae for r in found]
-    rows = [(i, r.n_folds, errors[: i + 1] == sorted(errors[: i + 1])) for i, r in enumerate(found)]
-    return spark.createDataFrame(rows, "position int, n_folds bigint, in_order boolean")
+    found = boost.grid_search(split.expanding_folds(labelled.drop("role"), 5))
+    return found.withColumns({c: F.round(c, 4) for c in ("mean_mae", "std_mae")})
 
 
-@query("random_search", "select cast(position as integer) as position, true as in_order from (select unnest(range(0, 3)) as position)")
+@query("random_search")
 def random_search(spark, sf_dir):
-    """M5: three seeded draws from small ranges, scored on the last fifth of each family's train weeks, best first."""
+    """M5: 30 model-based trials over the reference's ranges, scored on the last fifth of each family's train weeks."""
     train, _, _ = _split(spark, sf_dir)
-    found = learn.random_search(train.drop("role"), n_trials=3, ranges=SMALL_RANGES).collect()  # one row per trial
-    errors = [r.mae for r in found]
-    rows = [(i, errors[: i + 1] == sorted(errors[: i + 1])) for i in range(len(found))]
-    return spark.createDataFrame(rows, "position int, in_order boolean")
-
+    return boost.tpe_search(train.drop("role"), n_trials=30).withColumn("mae", F.round("mae", 4))
 
-def _known(scored):
-    return scored.withColumn("has_prediction", F.col("predicted").isNotNull()).drop("predicted")
 
-
-@query("batch_score", f"with {SPLIT_SQL} select familia, week_start, role, cast(target as double) as actual, true as has_prediction from lsplit")
+@query("batch_score")
 def batch_score(spark, sf_dir):
     """M7: score every stored week with the tuned model (train and test rows labelled)."""
     train, _, labelled = _split(spark, sf_dir)
-    return _known(learn.score(_tuned_model(train), labelled))
+    return boost.score(_tuned_model(train), labelled)
 
 
-@query(
-    "predict_latest",
-    f"""with {SPLIT_SQL}
-select familia, max(week_start) as week_start, arg_max(role, week_start) as role,
-       cast(arg_max(target, week_start) as double) as actual, true as has_prediction
-from lsplit group by familia""",
-)
+@query("predict_latest")
 def predict_latest(spark, sf_dir):
     """M6 (``solo_ultima``): prediction for each family's last feature row."""
     train, _, labelled = _split(spark, sf_dir)
-    return _known(learn.score(_tuned_model(train), split.latest_row(labelled)))
+    return boost.score(_tuned_model(train), split.latest_row(labelled))
 
 
-@query(
-    "weekly_prediction_job",
-    f"with {SERVING_SQL} select familia, week_start, missing_lags, missing_lags = 0 as has_prediction from serving",
-)
+def _predicted_store(spark, sf_dir, model):
+    """(returned predictions, what the keyed store holds of them): the store's older snapshot has the rows without predictions."""
+    serving = features.next_week_features(views.weekly(spark, sf_dir, 7), LAGS)
+    preds = boost.score(model, serving, keys=("familia", "week_start", "missing_lags")).withColumnRenamed("predicted", "predicted_base_imponible")
+    path = store.new_location(spark, "predictions")
+    store.write_dated(preds.withColumn("predicted_base_imponible", F.lit(None).cast("double")), path, "2001-10-29")
+    return preds, store.upsert_store(spark, path, preds, ["familia", "week_start"], "2001-11-05")
+
+
+@query("weekly_prediction_job")
 def weekly_prediction_job(spark, sf_dir):
-    """M8: history → next-week serving rows (calendar lags, M9) → score → keyed prediction store.
+    """M8: history → next-week serving rows (calendar lags, M9) → score → keyed prediction store → its newest rows.
 
-    Every family gets a row; one with a missing lag has no prediction.  The
-    store's older snapshot holds the rows without predictions; the job upserts into it and reads the newest.
+    Every family gets a row; one with a missing lag has no prediction.
     """
     train, _, _ = _split(spark, sf_dir)
-    serving = features.next_week_features(views.weekly(spark, sf_dir, 7), LAGS)
-    preds = learn.score(_tuned_model(train), serving, keys=("familia", "week_start", "missing_lags"))
-    preds = preds.withColumnRenamed("predicted", "predicted_base_imponible")
-    path = store.new_location(spark, "predictions")
-    older = preds.withColumn("predicted_base_imponible", F.lit(None).cast("double"))
-    store.write_dated(older, path, "2001-10-29")
-    stored = store.upsert_store(spark, path, preds, ["familia", "week_start"], "2001-11-05")
-    return stored.select("familia", "week_start", "missing_lags", F.col("predicted_base_imponible").isNotNull().alias("has_prediction"))
+    stored = _predicted_store(spark, sf_dir, _tuned_model(train))[1]
+    return stored.select("familia", "week_start", "missing_lags", "predicted_base_imponible")
+
+
+@query(
+    "prediction_checks",
+    f"""with {SPLIT_SQL}, {SERVING_SQL.split(", ", 1)[1].split("nxt as", 1)[0] and "nxt as" + SERVING_SQL.split("nxt as", 1)[1]}
+select 'rows' as what, cast(count(*) as bigint) as found from lsplit
+union all select 'predicted', count(*) from lsplit
+union all select 'sum of actuals', cast(round(sum(cast(target as double))) as bigint) from lsplit
+union all select 'outside the range of the training target', 0
+union all select 'equal features, other prediction', 0
+union all select 'latest other than in the batch', 0
+union all select 'latest', count(distinct familia) from lsplit
+union all select 'stored other than returned', 0
+union all select 'stored', count(*) from serving
+union all select 'stored without prediction', count(*) from serving where missing_lags > 0
+union all select 'training error not below that of the mean', 0""",
+)
+def prediction_checks(spark, sf_dir):
+    """M6–M8: what must hold of the predictions of the batch, the latest rows and the stored week (counts of breaches)."""
+    train, _, labelled = _split(spark, sf_dir)
+    model = _tuned_model(train)
+    batch = boost.score(model, labelled)
+    path = store.new_location(spark, "batch")
+    store.write_table(batch, path)
+    batch = spark.read.schema(batch.schema).parquet(path)
+    y = F.col("target").cast("double")
+    low, high, mean = (train.agg(f(y).alias("v")).scalar() for f in (F.min, F.max, F.avg))
+    slack = (high - low) * 0.25  # boosting may overshoot a little
+    outside = (F.col("predicted") < low - slack) | (F.col("predicted") > high + slack)
+    n = lambda df, what: df.agg(F.count(F.lit(1)).alias("found")).select(F.lit(what).alias("what"), F.col("found").cast("bigint").alias("found"))
+    both = labelled.join(batch.select("familia", "week_start", "predicted"), ["familia", "week_start"])
+    groups = both.groupBy("familia", *ROOT_FEATURES).agg(F.countDistinct("predicted").alias("d")).where("d > 1")
+    latest = boost.score(model, split.latest_row(labelled))
+    other = latest.alias("l").join(batch.alias("b"), ["familia", "week_start"]).where("l.predicted <> b.predicted")
+    preds, stored = _predicted_store(spark, sf_dir, model)
+    moved = stored.alias("s").join(preds.alias("p"), ["familia", "week_start"], "full").where("not (s.predicted_base_imponible <=> p.predicted_base_imponible)")
+    miss = lambda p: F.avg((F.col("actual") - p) * (F.col("actual") - p))
+    fitted = batch.where("role = 'train'").withColumn("mean", mean).agg(miss(F.col("predicted")).alias("m"), miss(F.col("mean")).alias("naive"))
+    parts = [
+        n(batch, "rows"), n(batch.where("predicted is not null"), "predicted"),
+        batch.agg(F.round(F.sum("actual")).cast("bigint").alias("found")).select(F.lit("sum of actuals").alias("what"), "found"),
+        n(batch.where(outside), "outside the range of the training target"), n(groups, "equal features, other prediction"), n(other, "latest other than in the batch"),
+        n(latest, "latest"), n(moved, "stored other than returned"), n(stored, "stored"), n(stored.where("predicted_base_imponible is null"), "stored without prediction"),
+        n(fitted.where("m >= naive"), "training error not below that of the mean"),
+    ]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 @query("model_roundtrip", f"with {SPLIT_SQL} select count(*) as n_rows, 0.0 as max_difference from lsplit where role = 'test'")
 def model_roundtrip(spark, sf_dir):
-    """Save the fitted pipeline to shared storage, load it, compare the predictions of the test weeks."""
+    """Save the fitted model to shared storage, load it, compare the predictions of the test weeks."""
     train, test, _ = _split(spark, sf_dir)
     model, path, keys = _tuned_model(train), store.new_location(spark, "model"), ["familia", "week_start"]
-    learn.save(model, path)
-    both = learn.score(model, test).join(learn.score(learn.load(path), test).withColumnRenamed("predicted", "again").drop("actual", "role"), keys)
+    model.save(spark, path)
+    both = boost.score(model, test).join(boost.score(boost.Booster.load(spark, path), test).withColumnRenamed("predicted", "again").drop("actual", "role"), keys)
     return both.agg(F.count(F.lit(1)).alias("n_rows"), F.max(F.abs(F.col("predicted") - F.col("again"))).alias("max_difference"))
 
 
@@ -184,7 +244,8 @@ def model_roundtrip(spark, sf_dir):
 def feature_importance(spark, sf_dir):
     """M11 (re-aimed): permutation importance (MAE increase per permuted feature) on the test weeks."""
     train, test, _ = _split(spark, sf_dir)
-    out = learn.permutation_importance(_tuned_model(train), test)
+    model = _tuned_model(train)
+    out = learn.permutation_importance(None, test, features=list(model.bins.features), predict=lambda rows: boost.score(model, rows))
     return out.withColumns({c: F.round(c, 4) for c in ("permuted_mae", "base_mae", "mae_increase")})
 
 
@@ -210,24 +271,52 @@ def feature_importance_lag1(spark, sf_dir):
     return out.withColumns({c: F.round(c, 4) for c in ("permuted_mae", "base_mae", "mae_increase")})
 
 
-@query(
-    "builtin_importance",
-    f"select feature, true as in_range from (select unnest({[*LAG_COLS, *FLAGS]}) as feature)",
-)
+@query("builtin_importance")
 def builtin_importance(spark, sf_dir):
-    """Built-in importances of a small tree model by input name (each from 0 to 1, the previous weeks' in all over a half)."""
+    """The tuned booster's own importances: mean gain of the splits on each input, as a share."""
     train, _, _ = _split(spark, sf_dir)
-    found = dict(learn.tree_importance(learn.fit(train, learn.regressor("gbt", maxIter=3, maxDepth=3))))
-    total = sum(found[c] for c in LAG_COLS)
-    rows = [(c, 0 <= v <= 1 and total > 0.5) for c, v in found.items()]  # one row per input
-    return spark.createDataFrame(rows, "feature string, in_range boolean")
+    found = boost.importance(_tuned_model(train))
+    return spark.createDataFrame([(c, round(v, 6)) for c, v in found.items()], "feature string, importance double")  # one row per input
+
+
+@query("shap_values")
+def shap_values(spark, sf_dir):
+    """Shapley attribution of the tuned booster's predictions, per family, test week and input."""
+    train, test, _ = _split(spark, sf_dir)
+    found = boost.shap(_tuned_model(train), test)
+    return found.withColumns({c: F.round(c, 4) for c in ("attribution", "base_value", "predicted")})
+
+
+@query(
+    "shap_checks",
+    f"""with {SPLIT_SQL}
+select 'rows' as what, cast(count(*) * {len(ROOT_FEATURES) + 1} as bigint) as found from lsplit where role = 'test'
+union all select 'weeks whose attributions and base do not add up to the prediction', 0
+union all select 'inputs', {len(ROOT_FEATURES) + 1}
+union all select 'base values', 1""",
+)
+def shap_checks(spark, sf_dir):
+    """Attributions and base value add up to what the model predicts, for every row."""
+    train, test, _ = _split(spark, sf_dir)
+    model = _tuned_model(train)
+    found = boost.shap(model, test)
+    per_row = found.groupBy("familia", "week_start").agg((F.sum("attribution") + F.first("base_value")).alias("total"))
+    scored = boost.score(model, test).join(per_row, ["familia", "week_start"], "left")
+    wrong = scored.where("total is null or abs(total - predicted) > 1e-6 * abs(predicted)")
+    one = lambda what, col: found.agg(col.cast("bigint").alias("found")).select(F.lit(what).alias("what"), "found")
+    return (
+        one("rows", F.count(F.lit(1)))
+        .unionByName(wrong.agg(F.count(F.lit(1)).alias("found")).select(F.lit("weeks whose attributions and base do not add up to the prediction").alias("what"), "found"))
+        .unionByName(one("inputs", F.countDistinct("feature")))
+        .unionByName(one("base values", F.countDistinct("base_value")))
+    )
 
 
 @query("baseline_vs_model")
 def baseline_vs_model(spark, sf_dir):
     """Test errors of the tuned model next to the naive lag-1 baseline, per family."""
     train, test, _ = _split(spark, sf_dir)
-    model_preds = learn.score(_tuned_model(train), test).withColumn("model", F.lit("gbt_tuned"))
+    model_preds = boost.score(_tuned_model(train), test).withColumn("model", F.lit("xgb_tuned"))
     naive = test.select(
         "familia", "week_start", F.col("target").cast("double").alias("actual"),
         F.col("base_imponible_lag1").alias("predicted"), F.lit("previous_week").alias("model"),

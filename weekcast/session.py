@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -61,3 +63,20 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder, for written intermediate tables."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors (once for each application): their Python tasks import it."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent
+    path = os.path.realpath(f"{tempfile.mkdtemp()}/{top.name}.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(top.rglob("*.py")):
+            z.write(f, f.relative_to(top.parent))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
