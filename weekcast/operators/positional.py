@@ -60,8 +60,8 @@ def with_slice(df: DataFrame, key: Column, n_slices: int | None = None, name: st
     probs = F.array(*[F.lit(i / n) for i in range(1, n)])
     found = df.agg(F.percentile_approx(key, probs, max(SLICE_ACCURACY, 10 * n)).alias("b")).first()["b"] if n > 1 else None
     bounds = sorted({float(b) for b in (found or []) if b is not None})
-    if not bounds:
-        return df.withColumn(name, F.lit(0))
+    if not bounds:  # 0, but no literal: a join on a literal key would become a nested loop
+        return df.withColumn(name, (F.xxhash64(key) * F.lit(0)).cast("int"))
     # one flat expression over literal arrays, in two levels: the coarse bounds choose a run of
     # fine ones, so a row compares with about 2 * sqrt(n) numbers
     step = max(1, math.isqrt(len(bounds)))
@@ -119,8 +119,10 @@ def global_position(df: DataFrame, order_cols, n_slices: int | None = None, name
     """
     order_cols = list(order_cols)
     n = _n_slices(df, n_slices)
+    if n == 1:  # one task's share
+        return df.withColumn(name, (F.row_number().over(Window.orderBy(*order_cols)) - 1).cast("bigint"))
     sliced = with_slice(df, numeric_key(df, order_cols[0]), n)
-    if len(order_cols) > 1 and n > 1:
+    if len(order_cols) > 1:
         sliced = _split_ties(sliced, order_cols, n_slices)
     local = F.row_number().over(Window.partitionBy("_slice").orderBy(*order_cols)) - 1
     sliced = sliced.withColumn("_local", local)
@@ -140,7 +142,11 @@ def running_sums(df: DataFrame, group_cols, order_col: str, sum_cols, n_slices:
     rows is spread over many slices.
     """
     group_cols = list(group_cols)
-    sliced = with_slice(df, numeric_key(df, order_col), n_slices)
+    n = _n_slices(df, n_slices)
+    if n == 1:  # one task's share
+        whole = Window.partitionBy(*group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({f"cum_{c}": F.sum(c).over(whole) for c in sum_cols})
+    sliced = with_slice(df, numeric_key(df, order_col), n)
     upto = Window.partitionBy("_slice", *group_cols).orderBy(order_col).rowsBetween(Window.unboundedPreceding, 0)
     local = sliced.withColumns({f"_cum_{c}": F.sum(c).over(upto) for c in sum_cols})
     totals = sliced.groupBy("_slice", *group_cols).agg(*[F.sum(c).alias(f"_tot_{c}") for c in sum_cols])
