@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import evaluate, features, rollup, split
+from ..operators import asof, evaluate, features, rollup, split
+from ..sources import tables
 from . import sqltext as q
 from . import views
 from .catalog import query
@@ -154,6 +155,31 @@ def asof_features(spark, sf_dir):
     return features.asof_weekly(days, wk)
 
 
+# Feature groups of the event table: purchases count for two days, views until the next one.
+ASOF_GROUPS = (("purchase", 2 * 86400), ("view", None))
+
+
+def _asof_sql(name, ttl):
+    rows = f"(select * from events where event_type = '{name}' qualify row_number() over (partition by user_id, ts order by event_id desc) = 1)"
+    fresh = f"e.ts <= f.ts + interval {ttl} second" if ttl else "true"
+    return f"""select e.event_id, case when {fresh} then f.value end as {name}_value, case when {fresh} then f.props end as {name}_props,
+  case when {fresh} then f.ts end as {name}_time from e asof left join {rows} f on e.user_id = f.user_id and e.ts >= f.ts"""
+
+
+@query(
+    "asof_events",
+    f"""with e as (select event_id, user_id, ts, event_type from events where event_type in ('click', 'error'))
+select e.*, {", ".join(f"{n}_value, {n}_props, {n}_time" for n, _ in ASOF_GROUPS)}
+from e {" ".join(f"join ({_asof_sql(n, t)}) using (event_id)" for n, t in ASOF_GROUPS)}""",
+)
+def asof_events(spark, sf_dir):
+    """For each click and error, the user's latest purchase (held for two days) and view at that moment."""
+    ev = tables.table(spark, sf_dir, "events")
+    groups = [asof.FeatureGroup(n, ev.where(F.col("event_type") == n), ("value", "props"), "ts", "event_id", ttl) for n, ttl in ASOF_GROUPS]
+    entities = ev.where(F.col("event_type").isin("click", "error")).select("event_id", "user_id", "ts", "event_type")
+    return asof.asof_join(entities, groups, ["user_id"], "ts", n_slices=8)
+
+
 # ---------------------------------------------------------------- splits
 
 
