@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import features
-from ..sources import store
+from ..sources import keyed, store
 from . import sqltext as q
 from . import views
 from .catalog import query
@@ -93,6 +93,26 @@ def upsert_store(spark, sf_dir):
     return store.upsert_store(spark, path, batch, KEYS, "2001-11-05")
 
 
+@query(
+    "keyed_store",
+    f"""with {STORE_SQL}
+select * from store_new
+union all
+select * from store_old o where not exists (select 1 from store_new n where n.familia = o.familia and n.week_start = o.week_start)""",
+)
+def keyed_store(spark, sf_dir):
+    """The same upsert over a store with a manifest of key ranges: only the files of the batch's weeks are rewritten."""
+    old, new = _stores(spark, sf_dir)
+    keys = ["week_start", "familia"]
+    columns = [*keys, *[c for c in old.columns if c not in keys]]
+    old, new = old.select(*columns), new.select(*columns)
+    path = store.new_location(spark, "keyed-files")
+    keyed.upsert(spark, path, old, keys, rows_per_file=100)
+    twice = new.withColumn("base_imponible", F.col("base_imponible") * 0).withColumn("load", F.lit(1)).union(new.withColumn("load", F.lit(2)))
+    keyed.upsert(spark, path, store.latest_of(twice, keys, ["load"]).drop("load"), keys, rows_per_file=100)
+    return keyed.read(spark, path, new.schema)
+
+
 @query(
     "incremental_new_weeks",
     f"""with {STORE_SQL}
