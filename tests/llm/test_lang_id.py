@@ -1,5 +1,7 @@
 """op10: held-out accuracy on the given table, spans of mixed text, scripts, edge cases."""
 
+import random
+
 from pyspark.sql import functions as F
 
 from weekcast.llm import common, lang_id, queries
@@ -72,3 +74,15 @@ def test_edge_cases(spark, docs):
     assert lang_id.identify(nolabel).where("lang_pred = 'und'").count() == len(rows)
     kept = lang_id.keep_identified(docs(rows), 0.4)
     assert kept.columns == docs(rows).columns and kept.count() == 5
+
+
+def test_two_hundred_languages(spark):
+    """Labels of any number of languages: every text in its own."""
+    rnd = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = {f"l{i:03d}": ["".join(rnd.choice(letters) for _ in range(6)) for _ in range(12)] for i in range(200)}
+    rows = [(i * 1000 + k, " ".join(rnd.choice(own) for _ in range(30)), lang) for i, (lang, own) in enumerate(words.items()) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = lang_id.identify(df).collect()
+    want = {i: lang for i, _, lang in rows}
+    assert sum(r.lang_pred == want[r.doc_id] for r in out) > 0.97 * len(rows)

@@ -132,7 +132,7 @@ class Model:
         order = np.argsort(-n, kind="stable")
         n, start = n[order], start[order]
         open_at = np.searchsorted(-n, -np.arange(n[0] if len(n) else 0), side="left")  # texts with more than t words
-        best = np.zeros(len(score), np.int8)
+        best = np.zeros(len(score), np.int32)
         stay = np.ones(score.shape, bool)
         value = np.zeros((n_docs, score.shape[1]), np.float32)
         last = np.zeros(n_docs, np.int64)
@@ -147,7 +147,7 @@ class Model:
                 now = np.where(kept, now, moved)
             value[:k] = now + score[at]
         last = value.argmax(axis=1)
-        out = np.zeros(len(score), np.int8)
+        out = np.zeros(len(score), np.int32)
         for t in range(len(open_at) - 1, -1, -1):
             k = open_at[t]
             at = start[:k] + t
@@ -270,8 +270,9 @@ def identify(
 
     A row is held out if crc32(id as text) is divisible by ``held_out_of``.
     Null, empty and letterless texts are ``und`` with score 0; equal scores
-    go to the first language in order; repeated rows are judged alike; other
-    columns are not read.  A table without any labelled row predicts ``und`` with score 0.
+    go to the first language in order; repeated rows are judged alike; texts
+    of any length and any number of languages are judged whole; an empty
+    table gives no rows; other columns are not read.  A table without any labelled row predicts ``und`` with score 0.
     """
     held = common.id_remainder(F.col(id_col), held_out_of) == 0
     try:
