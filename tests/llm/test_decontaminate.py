@@ -1,6 +1,7 @@
 """op1: hits against brute force, quotes at any place, block-max WAND against plain scoring, edge cases."""
 
 import random
+import tracemalloc
 
 import numpy as np
 
@@ -62,3 +63,25 @@ def test_quote_at_any_place_and_edge_cases(spark, docs):
     assert {r.doc_id for r in left.collect()} == {1000, 1001, 1002, 1003, 1004}
     assert decontaminate.contaminated(docs([]), items).count() == 0
     assert decontaminate.contaminated(docs(rows), items.limit(0)).count() == 0
+
+
+def test_items_that_share_an_id_are_both_found(spark, docs):
+    a, b = "the red fox jumps over nine lazy dogs today. what is the answer to this riddle then.", "seven blue whales swim far below the northern ice. how deep do they dive at night."
+    items = spark.createDataFrame([(1, a), (1, b), (1, b)], "item_id long, text string")
+    got = decontaminate.contaminated(docs([(10, "x y z " + a), (11, b + " q r s"), (12, a + " " + b)]), items).collect()
+    assert sorted((r.doc_id, r.item_id) for r in got) == [(10, 1), (11, 1), (12, 1), (12, 1)]
+
+
+def test_a_large_index_is_sparse():
+    """10,000 items: the index grows with its postings, and bounds of many passages are cut to a bounded size."""
+    rnd = np.random.default_rng(1)
+    texts = [" ".join(f"w{x}" for x in rnd.integers(0, 20_000, 40)) + ". " + " ".join(f"w{x}" for x in rnd.integers(0, 20_000, 10)) for _ in range(10_000)]
+    items = decontaminate.Items.of(list(enumerate(texts)))
+    held = sum(x.nbytes for x in vars(items.index).values() if isinstance(x, np.ndarray))
+    assert held < 20_000_000 and items.index.blocks == 2500
+    tracemalloc.start()
+    found = items.hits([f"before {texts[77]} after", "nothing " * 300, *[t.upper() for t in texts[:300]]], 0.6, 0.8)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {(d, i) for d, i, *_ in found} == {(0, 77), *((2 + k, k) for k in range(300))}
+    assert peak < 1 << 30

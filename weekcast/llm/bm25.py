@@ -2,8 +2,9 @@
 
 Documents are numbered by length, so that neighbours have like impacts.  A
 posting list is cut into blocks of documents with the same numbers for all
-terms (``BLOCK`` documents each), and every list knows the greatest impact
-of each block.  A query first adds up, for each block, the block maxima of
+terms (``block`` documents each), and every list knows the greatest impact
+of each block in which it has postings (and of no other, so the index grows
+with its postings).  A query first adds up, for each block, the block maxima of
 its terms: blocks that cannot reach the threshold are never opened.  In the
 others the cursors move as in WAND: they are ordered by document, the first
 at which the summed bounds reach the threshold is the pivot, the block
@@ -25,14 +26,16 @@ def idf(df: np.ndarray, n: int) -> np.ndarray:
 
 @dataclass
 class BlockMaxIndex:
-    """Postings in term order: ``docs[at[t]:at[t + 1]]`` with ``impacts``; ``maxima`` is terms x blocks."""
+    """Postings in term order: ``docs[at[t]:at[t + 1]]`` with ``impacts``; entries ``of[t]:of[t + 1]`` are the term's blocks with their maxima."""
 
     terms: np.ndarray  # sorted hashes
     at: np.ndarray
     docs: np.ndarray
     impacts: np.ndarray
-    maxima: np.ndarray
-    top: np.ndarray
+    of: np.ndarray
+    entry_block: np.ndarray
+    entry_most: np.ndarray
+    blocks: int
     names: list
     block: int
 
@@ -52,11 +55,12 @@ class BlockMaxIndex:
         if scale:
             own = np.bincount(doc, impact, minlength=len(names))
             impact = impact / np.maximum(own, 1e-9)[doc]
-        blocks = (len(names) + block - 1) // block
-        maxima = np.zeros((len(term), max(1, blocks)), np.float32)
         impact = np.nextafter(impact.astype(np.float32), np.float32(np.inf))
-        np.maximum.at(maxima, (tid, doc // block), impact)
-        return cls(term, np.searchsorted(tid, np.arange(len(term) + 1)), doc, impact, maxima, maxima.max(axis=1), names, block)
+        own = doc // block
+        new = np.flatnonzero((np.diff(tid, prepend=-1) != 0) | (np.diff(own, prepend=-1) != 0))
+        most = np.maximum.reduceat(impact, new) if len(new) else np.zeros(0, np.float32)
+        of = np.searchsorted(tid[new], np.arange(len(term) + 1))
+        return cls(term, np.searchsorted(tid, np.arange(len(term) + 1)), doc, impact, of, own[new], most, max(1, (len(names) + block - 1) // block), names, block)
 
     def term_ids(self, h: np.ndarray) -> np.ndarray:
         """Number of each hash's term, -1 if it isn't in the index."""
@@ -67,20 +71,34 @@ class BlockMaxIndex:
 
     def bounds(self, tid: np.ndarray, first: np.ndarray) -> np.ndarray:
         """Summed block maxima of many queries at once: query i has the terms from ``first[i]`` on; queries x blocks."""
-        return np.add.reduceat(self.maxima[tid], first, axis=0) if len(first) else np.zeros((0, self.maxima.shape[1]), np.float32)
+        n = self.of[tid + 1] - self.of[tid]
+        query = np.repeat(np.searchsorted(first, np.arange(len(tid)), side="right") - 1, n)
+        entry = np.repeat(self.of[tid] - np.concatenate([[0], np.cumsum(n)[:-1]]).astype(np.int64), n) + np.arange(n.sum())
+        key = query * self.blocks + self.entry_block[entry]
+        return np.bincount(key, self.entry_most[entry], len(first) * self.blocks).reshape(len(first), self.blocks)
+
+    def most(self, tid: np.ndarray, block: int) -> np.ndarray:
+        """The greatest impact of each term in a block (0: none)."""
+        out = np.zeros(len(tid))
+        for i, t in enumerate(tid):
+            a, b = self.of[t], self.of[t + 1]
+            k = a + np.searchsorted(self.entry_block[a:b], block)
+            if k < b and self.entry_block[k] == block:
+                out[i] = self.entry_most[k]
+        return out
 
     def search(self, tid: np.ndarray, threshold: float, blocks: np.ndarray) -> list[tuple[object, float]]:
         """All documents of the open ``blocks`` that score at least ``threshold`` for a query of distinct terms."""
         out = []
         for block in blocks:
             lo, hi = block * self.block, (block + 1) * self.block
-            own = tid[self.maxima[tid, block] > 0]
+            most = self.most(tid, block)
             lists = []
-            for t in own:
+            for t, upto in zip(tid[most > 0], most[most > 0]):
                 i = self.at[t] + np.searchsorted(self.docs[self.at[t] : self.at[t + 1]], lo)
                 j = self.at[t] + np.searchsorted(self.docs[self.at[t] : self.at[t + 1]], hi)
                 if i < j:
-                    lists.append([int(i), int(j), float(self.maxima[t, block])])
+                    lists.append([int(i), int(j), float(upto)])
             while lists:
                 lists.sort(key=lambda x: self.docs[x[0]])
                 total, pivot = 0.0, None

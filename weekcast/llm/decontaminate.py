@@ -30,6 +30,8 @@ from .bm25 import BlockMaxIndex
 SHINGLE = 5
 #: Characters of items in one index: a larger benchmark is searched in several, one after the other.
 INDEX_CHARS = 20_000_000
+#: Passages times blocks whose bounds are held at once.
+BOUNDS_AT_ONCE = 4_000_000
 
 
 def parts(text: str) -> tuple[str, str]:
@@ -44,9 +46,10 @@ def parts(text: str) -> tuple[str, str]:
 
 @dataclass
 class Items:
-    """The index and, for each item, the shingles of its question and answer."""
+    """The index over the items' numbers and, by number, their ids and the shingles of question and answer."""
 
     index: BlockMaxIndex
+    ids: list
     question: dict
     answer: dict
     size: dict
@@ -55,6 +58,7 @@ class Items:
 
     @classmethod
     def of(cls, rows: list[tuple[object, str]]) -> Items:
+        ids, rows = [i for i, _ in rows], list(enumerate(t for _, t in rows))  # items may share an id
         words = {i: wordhash.hashed([t or ""])[0] for i, t in rows}
         rows = [(i, t) for i, t in rows if len(words[i])]
         halves = {i: [wordhash.hashed([x])[0] for x in parts(t)] for i, t in rows}
@@ -63,9 +67,9 @@ class Items:
         index = BlockMaxIndex.build(names, [words[i] for i in names], block=4, scale=True)
         size = {i: [min(SHINGLE, len(h)) for h in two] for i, two in halves.items()}
         longest = max([len(words[i]) for i in names], default=1)
-        return cls(index, {i: s[0] for i, s in sh.items()}, {i: s[1] for i, s in sh.items()}, size, longest, wordhash.word_characters())
+        return cls(index, ids, {i: s[0] for i, s in sh.items()}, {i: s[1] for i, s in sh.items()}, size, longest, wordhash.word_characters())
 
-    def overlaps(self, item: object, words: np.ndarray) -> tuple[float, float]:
+    def overlaps(self, item: int, words: np.ndarray) -> tuple[float, float]:
         out = []
         for own, width in zip((self.question[item], self.answer[item]), self.size[item]):
             there = wordhash.shingles(words, width) if len(words) >= width > 0 else words[:0]
@@ -92,9 +96,10 @@ class Items:
         found: dict[tuple[int, object], tuple[float, float, float]] = {}
         text_of = np.repeat(np.arange(len(texts)), last + 1)
         start_of = np.searchsorted(doc, np.arange(len(texts)))
-        for lo in range(0, len(first), 4096):  # passages at once
-            part = first[lo : lo + 4096]
-            end = first[lo + 4096] if lo + 4096 < len(first) else len(p)
+        step = max(1, BOUNDS_AT_ONCE // self.index.blocks)
+        for lo in range(0, len(first), step):  # passages at once
+            part = first[lo : lo + step]
+            end = first[lo + step] if lo + step < len(first) else len(p)
             open_ = self.index.bounds(t[part[0] : end], part - part[0]) >= threshold
             for i in np.flatnonzero(open_.any(axis=1)):
                 a, b = part[i], part[i + 1] if i + 1 < len(part) else end
@@ -105,7 +110,7 @@ class Items:
                     q, r = self.overlaps(item, words)
                     if q >= overlap and r >= overlap:
                         found[d, item] = max(found.get((d, item), (0.0, 0.0, 0.0)), (min(1.0, score), q, r))
-        return [(d, item, *best) for (d, item), best in found.items()]
+        return [(d, self.ids[item], *best) for (d, item), best in found.items()]
 
 
 def contaminated(
@@ -116,8 +121,10 @@ def contaminated(
 
     Scores are BM25 as a share of the item's score for itself.  Null, empty
     and wordless texts and items have no rows; items with the same text each
-    have their own; repeated documents each have theirs; other columns aren't
-    read; with no items or documents there are no rows.
+    have their own, as have items with one id and several texts (a repeated
+    item counts once); repeated documents each have theirs; texts of any
+    length are searched whole, passage by passage; equal scores are all
+    given; other columns aren't read; with no items or documents there are no rows.
     """
     spark = docs.sparkSession
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_id].dataType.simpleString()
@@ -129,7 +136,7 @@ def contaminated(
     out = None
     for shard in range(shards):  # one but for benchmarks beyond INDEX_CHARS; each shard's index fits a broadcast
         own = items.where(F.pmod(F.xxhash64(item_id, item_text), F.lit(shards)) == shard) if shards > 1 else items
-        index = spark.sparkContext.broadcast(Items.of([tuple(r) for r in own.select(item_id, item_text).dropDuplicates([item_id]).collect()]))
+        index = spark.sparkContext.broadcast(Items.of([tuple(r) for r in own.select(item_id, item_text).distinct().collect()]))
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
