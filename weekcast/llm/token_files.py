@@ -3,7 +3,7 @@
 Every text is encoded whole with a public tokenizer file, an end id is
 appended, and rows (doc_id, n_tokens, ids) are written in ascending order of
 doc_id: one file for each range of ids, ``shard`` being its number and
-``row`` the place of a row in it.  The ids are a list column.  With ``encoding="dictionary"`` a column chunk holds a
+``row`` the place of a row in it and ``begin`` the number of ids before it there.  The ids are a list column.  With ``encoding="dictionary"`` a column chunk holds a
 dictionary of its ids and bit-packed references; with ``"delta"`` the page
 format is version 2 with delta-packed integers.  Row groups and pages have
 set sizes, and Parquet's page indexes (always written) let a reader skip
@@ -38,7 +38,9 @@ ENCODINGS = {
     "dictionary": {"parquet.enable.dictionary": "true", "parquet.writer.version": "v1"},
     "delta": {"parquet.enable.dictionary": "false", "parquet.writer.version": "v2"},
 }
-COLUMNS = "doc_id {}, n_tokens bigint, ids array<int>, shard int, row bigint"
+COLUMNS = "doc_id {}, n_tokens bigint, ids array<int>, shard int, row bigint, begin bigint"
+#: Documents of one file at most, on average.
+DOCS_PER_FILE = 100_000
 #: Words that a task remembers; beyond that it starts anew.
 WORDS_KEPT = 700_000
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!]*)")
@@ -130,12 +132,14 @@ def write(
 ) -> None:
     """Encode all texts and write the files under ``path``, in ascending order of the ids.
 
-    Columns: doc_id, n_tokens, ids (with the end id), shard, row.  A null or
+    Columns: doc_id, n_tokens, ids (with the end id), shard, row, begin.  A null or
     empty text has the end id alone; null ids come first; rows that repeat
-    an id are all kept, in the order of a hash of their texts; an empty
-    table gives files without rows; other columns are not read.
+    an id are all kept, in the order of a hash of their texts; texts of any
+    length are encoded whole; an empty table gives files without rows; other
+    columns are not read.  ``files``: as many as shuffles have parts, or
+    one for every ``DOCS_PER_FILE`` documents if that is more.
     """
-    n = files or int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = files or max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-docs.count() // DOCS_PER_FILE))
     # only the few columns are moved, and as text: smaller than their ids
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.repartitionByRange(n, "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
@@ -143,6 +147,7 @@ def write(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         end, shard, row = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId(), 0
+        begin = 0
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             sizes = pc.binary_length(texts).to_pylist()
@@ -151,9 +156,10 @@ def write(
                 count = np.array([len(x) // 4 for x in found], np.int64)
                 flat = np.frombuffer(b"".join(found), "<i4")
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()), pa.array(flat))
-                place = pa.array([shard] * (j - i), pa.int32()), pa.array(np.arange(row, row + j - i))
-                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(count), lists, *place], names=["doc_id", "n_tokens", "ids", "shard", "row"])
-                row += j - i
+                upto = begin + np.cumsum(count)
+                place = pa.array([shard] * (j - i), pa.int32()), pa.array(np.arange(row, row + j - i)), pa.array(upto - count)
+                yield pa.RecordBatch.from_arrays([ids.slice(i, j - i), pa.array(count), lists, *place], names=["doc_id", "n_tokens", "ids", "shard", "row", "begin"])
+                row, begin = row + j - i, int(upto[-1])
 
     kind = docs.schema[id_col].dataType.simpleString()
     out = rows.mapInArrow(encode, COLUMNS.format(kind))
@@ -165,17 +171,18 @@ def write(
 
 
 def read(spark, path: str, kind: str = "bigint") -> DataFrame:
-    """The files: doc_id, n_tokens, ids, shard.  Selecting or filtering columns reads their pages alone."""
+    """The files: doc_id, n_tokens, ids, shard, row, begin.  Selecting or filtering columns reads their pages alone."""
     return spark.read.schema(COLUMNS.format(kind)).parquet(path)
 
 
 def checksums(files: DataFrame) -> DataFrame:
     """Per document, from the files: doc_id, start, n_tokens, ids_crc32.
 
-    ``start``: ids of all documents before it: a running sum within each
-    shard, plus what earlier shards hold (one row for each, so bounded by
+    ``start``: ids of all documents before it: those of its shard (stored
+    with the row) and of earlier shards (one row for each, so bounded by
     the number of files).  The crc32 is over the ids as little-endian
-    unsigned 32-bit integers.
+    unsigned 32-bit integers.  Every row of the files has a result, also
+    rows of one id or of texts of any length; files without rows have none.
     """
 
     @F.arrow_udf("bigint")
@@ -183,13 +190,10 @@ def checksums(files: DataFrame) -> DataFrame:
         flat, at = np.asarray(lists.values).astype("<u4", copy=False), np.asarray(lists.offsets)
         return pa.array([zlib.crc32(flat[i:j]) for i, j in zip(at, at[1:])], pa.int64())
 
-    small = files.select("shard", "row", "doc_id", "n_tokens", crc("ids").alias("ids_crc32"))
-    total = files.groupBy("shard").agg(F.sum("n_tokens").alias("n"))
+    total = files.groupBy("shard").agg(F.max(F.col("begin") + F.col("n_tokens")).alias("n"))
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     base = total.select("shard", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    within = Window.partitionBy("shard").orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    own = small.withColumn("own", F.coalesce(F.sum("n_tokens").over(within), F.lit(0)))
-    return own.join(F.broadcast(base), "shard").select("doc_id", (F.col("base") + F.col("own")).alias("start"), "n_tokens", "ids_crc32")
+    return files.join(F.broadcast(base), "shard").select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", crc("ids").alias("ids_crc32"))
 
 
 def encoded(docs: DataFrame, tokenizer: str, **writing) -> DataFrame:
