@@ -294,7 +294,13 @@ def test_url_filter_equals_sql(spark):
         ("http://free.net/", "free.net", "/", None, "allow"),
         ("http://free.net/free/free", "free.net", "/free/free", None, "allow"),
         ("http://free.net/BETS", "free.net", "/BETS", None, "block"),
-        ("http://a.net?q=casino", "a.net", "", None, "allow"),
+        ("http://a.net?q=casino", "a.net", "", None, "block"),
+        ("http://a.net/go#XXX", "a.net", "/go", None, "block"),
+        ("casino.example.com/xxx", "", "", None, "block"),
+        ("http://a.net?q=occasion&casinos", "a.net", "", None, "allow"),
+        ("http://health.net/sex-education", "health.net", "/sex-education", None, "allow"),
+        ("http://a.net/sex?free=1", "a.net", "/sex", None, "block"),
+        ("http://a.net/sex?sex=sex#sex", "a.net", "/sex", None, "allow"),
         ("http://a.net#/de/", "a.net", "", None, "allow"),
         ("x://y://casino", "y:", "//casino", None, "block"),
     ],

@@ -3,10 +3,10 @@
 *Rules.*  A rule ``host/path`` fits its host and all subdomains if the
 url's path starts with the rule's; the longest fitting rule decides.
 
-*Vocabulary.*  Other urls are scanned (host and path, lower-cased) by an
-Aho-Corasick automaton.  A term counts only between boundaries: the
-characters beside it are no ASCII letters or digits.  One strict term, or
-distinct soft terms whose weights reach ``soft_limit``, reject the url.
+*Vocabulary.*  Whole urls, query string and fragment included, A-Z
+lower-cased, are scanned by an Aho-Corasick automaton.  A term counts only between boundaries: the
+characters beside it are no ASCII letters or digits.  One strict term, or at
+least ``least_soft`` distinct soft terms whose weights reach ``soft_limit``, reject the url.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ SOFT = {
     "gambling": 2, "jackpot": 1, "keygen": 2, "loan": 1, "lottery": 1, "nude": 2, "pills": 1, "poker": 1, "promo": 1, "replica": 1,
     "sex": 2, "slots": 1, "track": 1, "tracker": 1, "torrent": 1, "win": 1, "winner": 1,
 }
-SOFT_LIMIT = 2
+SOFT_LIMIT, LEAST_SOFT = 2, 2
 RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -80,13 +80,14 @@ def hits(words, text: str) -> tuple[list[str], list[str], int]:
 
 
 def judged(
-    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT
+    pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, strict=STRICT, soft=SOFT, soft_limit: int = SOFT_LIMIT, least_soft: int = LEAST_SOFT
 ) -> DataFrame:
     """One row for each row: page_id, host, path, rule, verdict, strict_hits, soft_hits, soft_weight.
 
-    Null urls and urls without ``://`` have empty host and path, no rule
-    and no hits, and are allowed.  Hits are counted over whole hosts and paths of any
-    length, not in the query string or fragment, also where a rule decides.  Repeated rows are judged alike; other
+    Null urls and urls without ``://`` have empty host and path and no rule.
+    Hits are counted over whole urls of any length (null: none; without
+    ``://`` over the whole text), also where a rule decides; a term counts
+    once however often it stands there.  An empty table has no rows.  Repeated rows are judged alike; other
     columns are not read; a term that is both strict and soft is strict.
     """
     allow = {h + p: v for h, p, v in rules}
@@ -101,11 +102,11 @@ def judged(
                 [pa.array([f[i] for f in found], kinds[i]) for i in range(3)], names=["strict_hits", "soft_hits", "soft_weight"]
             )
 
-    rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"))
+    text = F.translate(F.coalesce(F.col(url_col), F.lit("")), _UPPER, _LOWER)
+    rows = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url_col)).alias("host"), path_of(F.col(url_col)).alias("path"), text.alias("_text"))
     rows = rows.withColumn("rule", rule_of(F.col("host"), F.col("path"), rules))
-    text = F.translate(F.concat("host", "path"), _UPPER, _LOWER)
-    rows = rows.withColumn("h", scan(text))
-    bad = (F.size("h.strict_hits") > 0) | (F.col("h.soft_weight") >= soft_limit)
+    rows = rows.withColumn("h", scan(F.col("_text")))
+    bad = (F.size("h.strict_hits") > 0) | ((F.size("h.soft_hits") >= least_soft) & (F.col("h.soft_weight") >= soft_limit))
     by_rule = F.lit(None).cast("string")
     for text_, verdict in allow.items():
         by_rule = F.when(F.col("rule") == text_, verdict).otherwise(by_rule)
@@ -113,7 +114,7 @@ def judged(
     return rows.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "h.strict_hits", "h.soft_hits", "h.soft_weight")
 
 
-def sql(strict=STRICT, soft=SOFT, rules=RULES, soft_limit: int = SOFT_LIMIT) -> str:
+def sql(strict=STRICT, soft=SOFT, rules=RULES, soft_limit: int = SOFT_LIMIT, least_soft: int = LEAST_SOFT) -> str:
     """The query ``op7`` in DuckDB's SQL (hits as comma-separated text)."""
     def found(term: str) -> str:
         return f"regexp_matches(t, '(^|[^a-z0-9]){term}($|[^a-z0-9])')"
@@ -123,13 +124,14 @@ def sql(strict=STRICT, soft=SOFT, rules=RULES, soft_limit: int = SOFT_LIMIT) ->
     rule = " ".join(f"WHEN {fits(h, p)} THEN '{h}{p}'" for h, p, _ in ordered)
     by_rule = " ".join(f"WHEN rule = '{h}{p}' THEN '{v}'" for h, p, v in ordered)
     listed = lambda terms: "concat_ws(',', " + ", ".join(f"CASE WHEN {found(t)} THEN '{t}' END" for t in sorted(terms)) + ")"
+    number = " + ".join(f"CAST({found(t)} AS INTEGER)" for t in soft)
     weight = " + ".join(f"CASE WHEN {found(t)} THEN {w} ELSE 0 END" for t, w in soft.items())
     upper = f"'{_UPPER}', '{_LOWER}'"
     return f"""
-WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
-p AS (SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), {upper}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
-u AS (SELECT *, CASE {rule} END AS rule, translate(host || path, {upper}) AS t FROM p),
-h AS (SELECT *, {listed(strict)} AS strict_hits, {listed(soft)} AS soft_hits, {weight} AS soft_weight FROM u)
-SELECT page_id, host, path, rule, CASE {by_rule} WHEN strict_hits <> '' OR soft_weight >= {soft_limit} THEN 'block' ELSE 'allow' END AS verdict,
+WITH r AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+p AS (SELECT page_id, url, translate(regexp_extract(rest, '^([^/?#]*)', 1), {upper}) AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM r),
+u AS (SELECT *, CASE {rule} END AS rule, translate(url, {upper}) AS t FROM p),
+h AS (SELECT *, {listed(strict)} AS strict_hits, {listed(soft)} AS soft_hits, {weight} AS soft_weight, {number} AS soft_number FROM u)
+SELECT page_id, host, path, rule, CASE {by_rule} WHEN strict_hits <> '' OR (soft_number >= {least_soft} AND soft_weight >= {soft_limit}) THEN 'block' ELSE 'allow' END AS verdict,
   strict_hits, soft_hits, CAST(soft_weight AS INTEGER) AS soft_weight
 FROM h"""
