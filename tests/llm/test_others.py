@@ -135,6 +135,17 @@ def test_a_passage_whose_halves_have_other_first_places(spark, docs):
     assert got == [(i, 40, 60, 10) for i in range(11, 21)]
 
 
+def test_texts_that_share_an_id_are_documents_of_their_own(spark, docs):
+    rnd = random.Random(21)
+    x, p = sentence(rnd, 80, "x"), sentence(rnd, 70, "p")
+    own = lambda s, n: " ".join(f"{s}{j}" for j in range(n))
+    rows = [(3, x), (5, x), (5, own("five", 30) + " " + p), (7, own("seven", 20) + " " + p), (7, own("seven", 20) + " " + p)]
+    got = sorted((r.doc_id, r.first_word, r.words, r.other_id, r.other_first) for r in passages.repeated(docs(rows)).collect())
+    assert got == [(5, 0, 80, 3, 0), (7, 20, 70, 5, 30)]
+    same = sorted((r.doc_id, r.words, r.other_id) for r in passages.repeated(docs([(1, own("a", 9) + " " + p), (1, own("b", 12) + " " + p)])).collect())
+    assert same == [(1, 70, 1)]
+
+
 def test_frequent_runs_take_all_runs_without_a_rare_seed():
     rnd = np.random.default_rng(18)
     for _ in range(50):
