@@ -214,6 +214,98 @@ def test_toxicity_tolerates_disguise_and_edge_cases(spark, docs):
     assert toxicity.scored(docs([]), lab).count() == 0
 
 
+def _kernel(a, b, alphabet, scored=False):
+    """The kernel of two windows from its definition, triple by triple; ``scored``: a is scaled as a scored window is."""
+
+    def entries(text, scored=False):
+        out, square = Counter(), 0.0
+        text = " ".join(text.split())
+        for i, j, k in ((i, j, k) for i in range(len(text)) for j in range(i + 1, len(text)) for k in range(j + 1, min(len(text), i + toxicity.SPAN))):
+            cls = [int(alphabet.table[ord(text[p])]) for p in (i, j, k)]
+            if all(cls) and text[i:k].count(" ") <= 1:
+                out[tuple(cls)] += toxicity.DECAY ** (k - i + 1)
+                square += toxicity.DECAY ** (2 * (k - i + 1))
+        length = square**0.5 if scored else sum(v * v for v in out.values()) ** 0.5
+        return {t: v / length for t, v in out.items()}
+
+    x, y = entries(a, scored), entries(b)
+    return sum(v * y.get(t, 0.0) for t, v in x.items())
+
+
+def test_machine_equals_the_nystrom_formula_on_full_kernels():
+    rnd = random.Random(8)
+    word = lambda: "".join(rnd.choice("abcdeiorst") for _ in range(rnd.randint(3, 7)))
+    bad = [f"idiot {word()}" if i % 2 else "idiot" for i in range(20)]
+    good = [f"{word()} {word()}" for _ in range(40)]
+    machine = toxicity._machine(bad, good, 1000)  # all samples are landmarks
+    own = bad + good
+    y = np.array([1.0] * len(bad) + [-1.0] * len(good))
+    pick = [own[i] for i in range(len(own))]
+    full = np.array([[_kernel(a, b, machine.alphabet) for b in pick] for a in own])
+    value, basis = np.linalg.eigh(full)
+    root = basis / np.sqrt(np.maximum(value, 1e-4)) @ basis.T
+    z = np.concatenate([full @ root, np.ones((len(own), 1))], 1)
+    cost = np.where(y > 0, 1 / (2 * len(bad)), 1 / (2 * len(good)))
+    w = np.zeros(z.shape[1])
+    for _ in range(200):
+        near = y * (z @ w) < 1
+        hess = z[near].T @ (z[near] * cost[near, None]) + 1e-4 * np.eye(len(w))
+        new = np.linalg.solve(hess, z[near].T @ (cost[near] * y[near]))
+        if np.abs(new - w).max() < 1e-9:
+            break
+        w = new
+    texts = ["you idiot there", "idxiot", "rest of it", *own[:6]]
+    for text, got in zip(texts, machine.decisions(texts)):
+        parts = text.split()
+        windows = [" ".join(parts[i : i + k]) for k in range(1, toxicity.WORDS + 1) for i in range(len(parts) - k + 1)]
+        k = np.array([[_kernel(x, p, machine.alphabet, scored=True) for p in pick] for x in windows])
+        assert got == pytest.approx(min(1.0, float((k @ root @ w[:-1] + w[-1]).max())), abs=2e-3)
+
+
+def _toxic_table(spark, sentence_of, noise=0.0, n=300, seed=6):
+    rnd = random.Random(seed)
+    vocabulary = [f"{a}{b}" for a in ("gar", "riv", "hou", "tre", "mou", "flo", "sta", "win") for b in ("den", "er", "se", "ntain", "wer", "ling", "tan", "dow")]
+    rows, labels, truth = [], [], {}
+    for i in range(n):
+        sentences = [" ".join(rnd.choice(vocabulary) for _ in range(8)) for _ in range(5)]
+        truth[i] = int(i % 3 == 0)
+        if truth[i]:
+            sentences.insert(rnd.randrange(6), sentence_of(rnd, vocabulary))
+        rows.append((i, ". ".join(sentences) + "."))
+        labels.append((i, truth[i] if rnd.random() >= noise else 1 - truth[i]))
+    return rows, spark.createDataFrame(labels, "doc_id bigint, toxic int"), truth
+
+
+def _recall(out, truth):
+    held = [r for r in out.collect() if r.held_out]
+    caught = [r.predicted for r in held if truth[r.doc_id]]
+    clean = [r.predicted for r in held if not truth[r.doc_id]]
+    return sum(caught) / len(caught), 1 - sum(clean) / len(clean)
+
+
+def test_toxic_phrases_of_harmless_words(spark, docs):
+    rows, labels, truth = _toxic_table(spark, lambda rnd, v: f"{v[3]} {v[17]} {v[30]} {v[9]} {v[44]}")
+    out = toxicity.scored(docs(rows), labels)
+    assert out.select("score").distinct().count() > 10
+    recall, left_alone = _recall(out, truth)
+    assert recall > 0.9 and left_alone > 0.9
+
+
+def test_toxic_labels_with_noise(spark, docs):
+    insult = lambda rnd, v: " ".join([*rnd.sample(v, 4), rnd.choice(["idiot", "worthless", "pathetic"]), *rnd.sample(v, 3)])
+    rows, labels, truth = _toxic_table(spark, insult, noise=0.15, n=600)
+    recall, left_alone = _recall(toxicity.scored(docs(rows), labels), truth)
+    assert recall > 0.9 and left_alone > 0.9
+
+
+def test_toxicity_of_a_very_long_text(spark, docs):
+    insult = lambda rnd, v: " ".join([*rnd.sample(v, 4), "idiot", *rnd.sample(v, 3)])
+    rows, labels, _ = _toxic_table(spark, insult)
+    long = "river garden house. " * 80_000
+    out = {r.doc_id: r.predicted for r in toxicity.scored(docs(rows + [(901, long), (902, long + "river idiot garden")]), labels).where("doc_id > 900").collect()}
+    assert out == {901: 0, 902: 1}
+
+
 # ---------------------------------------------------------------- op5
 
 

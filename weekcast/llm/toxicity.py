@@ -1,20 +1,25 @@
 """Toxicity: a support vector machine with a subsequence string kernel over Nyström landmarks.
 
-*Kernel.*  Two words are compared by the letter triples that both hold in
-order, not only side by side: a triple within ``SPAN`` characters counts
-``DECAY`` for each character that it stretches over, so inserted and left
-out characters lower a match but do not undo it.  A word's vector is scaled
-to length 1.
-
-*Learning.*  The labelled texts are cut into sentences and words with their
-neighbours.  A word is taken as toxic if nearly all its different
-neighbours are of toxic texts, and more than chance would give (a word of
-copied texts has the same ones); so are copies of it with a letter put in;
-the other words are clean.  A linear support vector machine (squared hinge) is fitted on the
-Nyström features of the landmarks.
+*Kernel.*  Two windows of one to three words are compared by the letter
+triples that both hold in order, not only side by side: a triple within
+``SPAN`` characters counts ``DECAY`` for each character that it stretches
+over, so inserted and left out characters lower a match but do not undo it.
+Triples lie within a word or cross one blank, so phrases are seen.  The
+vectors that are learned from have length 1; one that is scored is divided
+by the root of its triples' squared weights, each occurrence for itself
+(the same but for triples that a window holds twice).
+
+*Learning.*  The samples are the sentences of labelled texts, each by its
+most toxic window.  A text's label holds for one of its sentences only, so
+rounds alternate: a toxic text gives its most toxic sentence under the
+machine so far, a clean text its most toxic ones and another; then the
+machine (squared hinge on the Nyström features) is fitted anew.  The first
+round starts from words and windows that are met in toxic texts more than
+chance would give, with copies that have a letter put in; where there are
+none, from sentences of all texts.
 
 *Scoring.*  Nyström features are linear in the triples, so the machine is a
-weight for each triple.  A word's decision is the sum over its triples,
+weight for each triple.  A window's decision is the sum over its triples,
 scaled; single letters that stand apart are read as one word; a sentence has
 its greatest decision, a text that of its sentences, mapped to (0, 1).
 """
@@ -35,6 +40,8 @@ from . import common
 
 DECAY = 0.8
 SPAN = 5
+#: Words of a window at most.
+WORDS = 3
 LETTERS = 64  # classes of characters: 0 for all that are no letters of the alphabet learned
 TRIPLES = LETTERS**3
 _PAIRS = [(j, k) for k in range(2, SPAN) for j in range(1, k)]
@@ -77,33 +84,42 @@ class Units:
         self.doc = np.searchsorted(ends, self.first, side="right")
         self.inside = inside
 
-    def triples(self) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
-        """(place of the first character, triple, weight) for each shape of triple."""
+        # a word that is followed by the next one of its text after a single blank
+        self.joined = np.zeros(len(self.first), bool)
+        if len(self.first) > 1:
+            gap = self.first[1:] - self.last[:-1] == 1
+            self.joined[:-1] = gap & (self.doc[1:] == self.doc[:-1])
+
+    def triples(self) -> Iterator[tuple[np.ndarray, np.ndarray, float, bool]]:
+        """(place of the first character, triple, weight, whether it crosses a blank) for each shape of triple."""
         word = np.cumsum(self.inside & ~np.concatenate([[False], self.inside[:-1]]))
-        word = np.where(self.inside & (self.chars > 0), word, 0)
+        letter = self.inside & (self.chars > 0)
+        on = np.concatenate([[False], self.joined])  # by number of word, from 1
         n = len(word)
         for j, k in _PAIRS:
             if n <= k:
                 continue
-            w = word[: n - k]
-            at = np.flatnonzero((w > 0) & (w == word[k:]) & (w == word[j : n - k + j]))
-            yield at, (self.chars[at] * LETTERS + self.chars[at + j]) * LETTERS + self.chars[at + k], DECAY ** (k + 1)
+            at = np.flatnonzero(letter[: n - k] & letter[k:] & letter[j : n - k + j])
+            ends = word[at + k] - word[at]
+            for cross in (False, True):
+                own = at[(ends == 1) & on[word[at]]] if cross else at[ends == 0]
+                yield own, (self.chars[own] * LETTERS + self.chars[own + j]) * LETTERS + self.chars[own + k], DECAY ** (k + 1), cross
 
 
-def vectors(words: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, triple, value) entries of the words' vectors of length 1; each of ``words`` is one unit."""
-    u = Units([re.sub(r"\s", "", w) or "?" for w in words], alphabet)
+def vectors(windows: list[str], alphabet: Alphabet) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(window, triple, value) entries of the vectors of windows (words with single blanks between them)."""
+    u = Units([" ".join(w.split()) or "?" for w in windows], alphabet)
     row, col, val = [], [], []
-    for at, triple, weight in u.triples():
-        row.append(np.searchsorted(u.first, at, side="right") - 1)
+    for at, triple, weight, _ in u.triples():
+        row.append(u.doc[np.searchsorted(u.first, at, side="right") - 1])
         col.append(triple)
         val.append(np.full(len(at), weight))
     row, col, val = (np.concatenate(x) if x else np.zeros(0, int) for x in (row, col, val))
     key, back = np.unique(row * TRIPLES + col, return_inverse=True)
     val = np.bincount(back, val) if len(key) else np.zeros(0)
     row, col = key // TRIPLES, key % TRIPLES
-    size = np.sqrt(np.bincount(row, val**2, minlength=len(words)))
-    return row, col, val / np.maximum(size[row], 1e-12)
+    size = np.sqrt(np.bincount(row, val**2, minlength=len(windows)))
+    return row, col, val / np.maximum(size[row], 1e-6)
 
 
 @dataclass
@@ -114,24 +130,66 @@ class Machine:
     slope: float = 4.0
     shift: float = 0.0
 
-    def decisions(self, texts: list[str]) -> np.ndarray:
-        """The greatest decision among the words of each text, cut at the margin (without words: that of an empty vector)."""
+    def windows(self, texts: list[str]) -> tuple[Units, list[np.ndarray]]:
+        """The words of the texts and, for windows of 1, 2, ... words, the decision of the one that begins at each word (-inf: none)."""
         u = Units(texts, self.alphabet)
-        total, square = np.zeros(len(u.chars) + 1), np.zeros(len(u.chars) + 1)
-        for at, triple, weight in u.triples():
-            total[at] += weight * self.weight[triple]
-            square[at] += weight * weight
+        n = len(u.first)
+        if not n:
+            return u, []
+        sums = []
+        edges = np.stack([u.first, u.last], 1).ravel()
+        for cross in (False, True):
+            total, square = np.zeros(len(u.chars) + 1), np.zeros(len(u.chars) + 1)
+            for at, triple, weight, crosses in u.triples():
+                if crosses == cross:
+                    total[at] += weight * self.weight[triple]
+                    square[at] += weight * weight
+            sums += [np.add.reduceat(total, edges)[::2], np.add.reduceat(square, edges)[::2]]
+        s, q, s_on, q_on = sums
+        whole, norm, ok = s.copy(), q.copy(), np.ones(n, bool)
+        out = [whole / np.maximum(np.sqrt(norm), 1e-6) + self.bias]
+        for k in range(1, WORDS):
+            if n <= k:
+                break
+            ok[-k:] = False
+            ok[: n - k] &= u.joined[k - 1 : n - 1]
+            whole[: n - k] += s_on[k - 1 : n - 1] + s[k:]
+            norm[: n - k] += q_on[k - 1 : n - 1] + q[k:]
+            out.append(np.where(ok, whole / np.maximum(np.sqrt(norm), 1e-6) + self.bias, -np.inf))
+        return u, out
+
+    def decisions(self, texts: list[str]) -> np.ndarray:
+        """The greatest decision among the windows of each text, cut at the margin (without words: that of an empty vector)."""
+        u, found = self.windows(texts)
         out = np.full(len(texts), self.bias)
-        if len(u.first):
-            edges = np.stack([u.first, u.last], 1).ravel()
-            s = np.add.reduceat(total, edges)[::2]
-            q = np.add.reduceat(square, edges)[::2]
-            word = s / np.sqrt(np.maximum(q, 1e-12)) + self.bias
-            np.maximum.at(out, u.doc, word)
+        for d in found:
+            np.maximum.at(out, u.doc, d)
         return np.minimum(out, 1.0)
 
+    def strongest(self, texts: list[str], most: int) -> list[list[str]]:
+        """The windows with the greatest decisions of each text, at most one for each sentence."""
+        u, found = self.windows(texts)
+        out: list[list[str]] = [[] for _ in texts]
+        if not found:
+            return out
+        best = np.max(found, axis=0)
+        size = np.argmax(found, axis=0)
+        whole = "\n".join(t.lower() for t in texts) + "\n"
+        edge = np.searchsorted(u.doc, np.arange(len(texts) + 1))
+        for d, (a, b) in enumerate(zip(edge[:-1], edge[1:])):
+            seen: set[int] = set()
+            for w in a + np.argsort(-best[a:b], kind="stable")[: 20 * most]:
+                first, last = int(u.first[w]), int(u.last[w + size[w]])
+                sentence = max(whole.rfind(c, int(u.first[a]), first) for c in ".!?\n")
+                if sentence not in seen:
+                    seen.add(sentence)
+                    out[d].append(whole[first:last])
+                    if len(out[d]) == most:
+                        break
+        return out
+
     def word_decisions(self, words: list[str]) -> np.ndarray:
-        return np.concatenate([self.decisions(words[i : i + 20_000]) for i in range(0, len(words), 20_000)])
+        return np.concatenate([np.zeros(0), *(self.decisions(words[i : i + 20_000]) for i in range(0, len(words), 20_000))])
 
     def scores(self, texts: list[str]) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * self.decisions(texts) + self.shift, -30, 30)))
@@ -139,7 +197,7 @@ class Machine:
 
 def fit(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_id: str = "doc_id", label_col: str = "toxic",
-    max_docs: int = 4000, landmarks: int = 300,
+    max_docs: int = 4000, landmarks: int = 300, rounds: int = 3,
 ) -> Machine:
     """Learn from about ``max_docs`` labelled rows of each class (the bound of the sample; by a hash of the id), whole texts.
 
@@ -156,27 +214,65 @@ def fit(
     sample = rows.join(F.broadcast(own), F.col("_id") == F.col("_label_id")).select("_toxic", "_text")
 
     def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Each word of a text's sentences once, with its first neighbours (as one hash)."""
+        """Windows of a text's sentences, each once: a word with its first neighbours, several words with the text (both as one hash)."""
         for batch in batches:
-            toxic, word, beside = [], [], []
+            toxic, window, beside = [], [], []
             for y, text in zip(*(c.to_pylist() for c in batch.columns)):
                 seen: dict[str, int] = {}
+                own = zlib.crc32(text.encode("utf-8", "surrogatepass"))
                 for sentence in re.split(r"[.!?\n]+", text.lower()):
                     w = re.findall(r"[^\W\d_]+", sentence)
                     for a, b, c in zip(w, ["", *w], [*w[1:], ""]):
                         seen.setdefault(a, zlib.crc32(f"{b} {c}".encode()))
+                    for k in range(2, WORDS + 1):
+                        for i in range(len(w) - k + 1):
+                            seen[" ".join(w[i : i + k])] = own
                 toxic += [y] * len(seen)
-                word += seen
+                window += seen
                 beside += seen.values()
-            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(word, pa.string()), pa.array(beside, pa.int64())], names=["toxic", "word", "beside"])
+            yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(window, pa.string()), pa.array(beside, pa.int64())], names=["toxic", "word", "beside"])
 
     met = sample.mapInArrow(words, "toxic int, word string, beside bigint").where("length(word) > 2")
     met = met.groupBy("word", "beside").agg(F.min("toxic").alias("toxic"))
-    counts = met.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good")).orderBy("word")
-    got = counts.toArrow()  # the words of a bounded sample
-    word, bad, good = got["word"].to_pylist(), *(np.asarray(got[c]).astype(np.int64) for c in ("bad", "good"))
+    counts = met.groupBy("word").agg(F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
     prior = rate[1] * n[1] / (rate[0] * n[0] + rate[1] * n[1])
-    machine = learn(word, bad, good, prior, landmarks)
+    # of words all, of windows those met in toxic texts more than chance gives: from a bounded sample
+    got = counts.where(~F.col("word").contains(" ") | ((F.col("bad") >= 3) & (F.col("good") <= F.col("bad") * (0.5 * (1 - prior) / prior)))).orderBy("word").toArrow()
+    word, bad, good = got["word"].to_pylist(), *(np.asarray(got[c]).astype(np.int64) for c in ("bad", "good"))
+    proposed, clean = proposals(word, bad, good, prior)
+
+    def mined(machine: Machine | None, round_: int) -> tuple[list[str], list[str]]:
+        """Windows of toxic and of clean texts: the strongest of the strongest sentences (without a machine: any), and of clean texts another."""
+        shared = spark.sparkContext.broadcast(machine)
+
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                y, texts = (c.to_pylist() for c in batch.columns)
+                found = []
+                for i, j in common.by_size([len(t) for t in texts]):
+                    part = texts[i:j]
+                    top = shared.value.strongest(part, 4) if shared.value else [[] for _ in part]
+                    for toxic, text, own in zip(y[i:j], part, top):
+                        w, h = text.lower().split(), zlib.crc32(f"{round_}{text}".encode("utf-8", "surrogatepass"))
+                        any_ = [" ".join(w[(h // (p + 1)) % len(w) :][: 1 + (h + p) % WORDS]) for p in range(3)] if w else []
+                        found += [(toxic, x) for x in (own[:1] if toxic and own else any_ if not own else own + any_[:1])]
+                yield pa.RecordBatch.from_arrays([pa.array([t for t, _ in found], pa.int32()), pa.array([x for _, x in found], pa.string())], names=["toxic", "window"])
+
+        rows = sample.mapInArrow(pick, "toxic int, window string").orderBy("toxic", "window").toArrow()  # a few windows of each text of the sample
+        found = list(zip(rows["toxic"].to_pylist(), rows["window"].to_pylist()))
+        return [x for t, x in found if t], [x for t, x in found if not t]
+
+    if proposed:
+        machine = learn(proposed, clean, landmarks)
+    else:
+        toxic, other = mined(None, 0)
+        if not toxic or not other:
+            raise ValueError("no words of both classes")
+        machine = _machine(toxic, other, landmarks)
+    for round_ in range(1, rounds + 1):
+        toxic, other = mined(machine, round_)
+        hard = [clean[i] for i in np.argsort(-machine.word_decisions(clean), kind="stable")[: max(1, len(other) // 2)]] if clean else []
+        machine = _machine(toxic + proposed + disguised(proposed), other + hard, landmarks)
 
     # the map from decisions to scores, on the same sample
     shared = spark.sparkContext.broadcast(machine)
@@ -192,8 +288,8 @@ def fit(
 
 
 def disguised(words: list[str], times: int = 2) -> list[str]:
-    """Each longer word with a letter put in, at places and with letters that follow from a hash."""
-    out = []
+    """Each longer word with a letter put in, at places and with letters that follow from a hash, and each word with its letters apart."""
+    out = [" ".join(w) for w in words if len(w) > 3 and " " not in w]
     for w in words:
         for i in range(times if len(w) > 4 else 0):
             h = zlib.crc32(f"{i}{w}".encode())
@@ -202,24 +298,29 @@ def disguised(words: list[str], times: int = 2) -> list[str]:
     return out
 
 
-def learn(word: list[str], bad: np.ndarray, good: np.ndarray, prior: float, landmarks: int = 300, most: int = 12_000) -> Machine:
-    """From words and the numbers of neighbours that they have in toxic and in clean texts.
+def proposals(word: list[str], bad: np.ndarray, good: np.ndarray, prior: float, most: int = 400) -> tuple[list[str], list[str]]:
+    """(words and windows to start from, clean words) from the numbers of contexts in toxic and in clean texts.
 
-    A word is toxic if nearly all its neighbours are of toxic texts, and so
-    many that chance would give less than one such word in ten such lists.
-    Of the others, ``most`` are learned as clean: the commonest, an even
-    share, and in a second round those that the first machine finds toxic.
+    A start is met in toxic texts so much more than their share that chance
+    would give less than one such word in ten such lists (a normal bound),
+    and in most of its contexts; the strongest come first.
     """
     met = bad + good
+    excess = (bad - met * prior) / np.sqrt(np.maximum(met * prior * (1 - prior), 1e-9))
     least = 2
     while least < 60 and (met >= least).sum() * prior**least >= 0.1:
         least += 1
-    toxic = [w for w, b, g in zip(word, bad, good) if b >= least and g <= 0.1 * b]
-    rest = sorted(((-g, w) for w, b, g in zip(word, bad, good) if g > 0.1 * b))
-    clean = [w for _, w in rest]
-    if not toxic or not clean:
+    sure = (bad >= least) & (excess > np.sqrt(2 * np.log(10 * max(2, len(word))))) & (bad * (1 - prior) > 2 * good * prior)
+    order = sorted(np.flatnonzero(sure), key=lambda i: (-excess[i], word[i]))[:most]
+    rest = sorted((-int(g), w) for w, g, y in zip(word, good, sure) if not y and " " not in w)
+    return [word[i] for i in order], [w for _, w in rest]
+
+
+def learn(proposed: list[str], clean: list[str], landmarks: int = 300, most: int = 12_000) -> Machine:
+    """The first machine, between the proposals and clean words: the commonest, an even share, and in a second round those that the first finds toxic."""
+    if not clean:
         raise ValueError("no words of both classes")
-    toxic += disguised(toxic)
+    toxic = proposed + disguised(proposed)
     part = clean[: most // 3] + clean[most // 3 :: max(1, 3 * len(clean) // most)]
     machine = _machine(toxic, list(dict.fromkeys(part)), landmarks)
     hard = np.argsort(-machine.word_decisions(clean), kind="stable")[: most // 3]
@@ -227,10 +328,10 @@ def learn(word: list[str], bad: np.ndarray, good: np.ndarray, prior: float, land
 
 
 def _machine(bad: list[str], good: list[str], landmarks: int, steps: int = 200) -> Machine:
-    """The support vector machine between two lists of words."""
+    """The support vector machine between two lists of windows."""
     counts: dict[str, int] = {}
     for w in bad + good:
-        for c in w:
+        for c in w.replace(" ", ""):
             counts[c] = counts.get(c, 0) + 1
     alphabet = Alphabet.of(counts)
     own = bad + good
@@ -309,8 +410,9 @@ def scored(
 
     A row is held out if crc32(id as text) modulo ``held_out_of`` is
     ``held_out_at``.  Null, empty and wordless texts get the score of an
-    empty word; repeated rows are scored alike; other columns are not read;
-    without labels of both classes every score is 0.
+    empty word; repeated rows are scored alike; texts of any length are
+    scored whole; an empty table has no rows; other columns are not read;
+    without labelled texts with words of both classes every score is 0.
     """
     held = common.id_remainder(F.col(id_col), held_out_of) == held_out_at
     try:
