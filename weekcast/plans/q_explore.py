@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import calendar as cal
-from ..operators import explore
+from ..operators import explore, sketches
+from ..operators.joins import join_small
+from ..sources import store
 from . import sqltext as q
 from . import views
 from .catalog import query
@@ -303,3 +305,40 @@ def top_family_weekly(spark, sf_dir):
     """O3: weekly series of the top-5 families only (semi join with the k-row key set)."""
     top = explore.top_k(views.sales(spark, sf_dir), 5, "base_imponible", "familia")
     return explore.restrict_to(views.weekly(spark, sf_dir, 7), top, "familia")
+
+
+# ---------------------------------------------------------------- sketches
+
+SKETCH_RANGE = ("1996-03-01", "1997-10-31")
+#: Bounds of the sketches' errors: of a rank, and relative of a distinct count.
+RANK_ERROR, DISTINCT_ERROR = 0.02, 0.06
+
+
+@query(
+    "sketch_profile",
+    f"""with {q.SALES_LINES},
+part as (select * from sales where fecha between date '{SKETCH_RANGE[0]}' and date '{SKETCH_RANGE[1]}')
+select familia, cast(count(*) as bigint) as n_rows, cast(0 as bigint) as nulls, cast(min(base_imponible) as double) as least, cast(max(base_imponible) as double) as greatest,
+  round(cast(sum(base_imponible) as double) / count(*), 4) as mean, true as q25_within, true as q50_within, true as q75_within, true as distinct_within
+from part group by familia""",
+)
+def sketch_profile(spark, sf_dir):
+    """A10/A16/A17 from stored sketches of each day: exact counts and extremes, quantiles and distinct counts within their bounds of the exact ones."""
+    lines = views.sales(spark, sf_dir).select("fecha", "familia", "n_factura", "base_imponible")
+    path = store.new_location(spark, "sketches")
+    store.write_table(sketches.daily_sketches(lines, ["base_imponible"], ["n_factura"]), path)
+    found = sketches.profile(spark.read.parquet(path), ["base_imponible"], ["n_factura"], *SKETCH_RANGE)
+    own = lines.where(F.col("fecha").between(*(F.lit(d).cast("date") for d in SKETCH_RANGE)))
+    own = join_small(own, found, "familia")  # one row a family
+    v = F.col("base_imponible").cast("double")
+    quarter = {25: "base_imponible_q25", 50: "base_imponible_q50", 75: "base_imponible_q75"}
+    ranks = []
+    for p, c in quarter.items():  # the share of values up to the estimate, and below it, enclose the wanted rank
+        upto, below = F.avg((v <= F.col(c)).cast("int")), F.avg((v < F.col(c)).cast("int"))
+        ranks.append(((upto >= p / 100 - RANK_ERROR) & (below <= p / 100 + RANK_ERROR)).alias(f"q{p}_within"))
+    exact = F.count_distinct("n_factura")
+    near = (F.abs(F.first("n_factura_distinct") - exact) <= DISTINCT_ERROR * exact).alias("distinct_within")
+    checked = own.groupBy("familia").agg(*ranks, near)
+    names = {"base_imponible_nulls": "nulls", "base_imponible_min": "least", "base_imponible_max": "greatest"}
+    out = found.select("familia", "n_rows", *[F.col(a).alias(b) for a, b in names.items()], F.round("base_imponible_mean", 4).alias("mean"))
+    return out.join(checked, "familia")

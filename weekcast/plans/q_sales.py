@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions import dates
 from ..operators import clean, rollup
-from ..sources import tables
+from ..sources import bucketed, tables
 from . import sqltext as q
 from . import views
 from .catalog import query
@@ -59,6 +59,12 @@ def weekly_all(spark, sf_dir):
     return views.weekly(spark, sf_dir, min_days=1)
 
 
+@query("bucketed_weekly", f"with {q.SALES_LINES}, {q.weekly(7)} select * from weekly")
+def bucketed_weekly(spark, sf_dir):
+    """A1/J1 over lines and parts that are bucketed by part key: the join shuffles nothing."""
+    return rollup.weekly_rollup(cal.add_calendar_flags(bucketed.bucketed_lines(spark, sf_dir)), min_days=7)
+
+
 @query(
     "sales_to_weekly",
     f"""with {_IMPUTED_SQL}, {q.weekly(7, src="imputed")} select * from weekly""",

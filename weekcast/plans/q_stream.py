@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from ..streaming import weekly
+from pyspark.sql import functions as F
+
+from ..sources import store
+from ..streaming import features, weekly
+from . import sqltext as q
+from . import views
 from .catalog import query
 
 KEYS = ("week_start", "event_type")
@@ -33,3 +38,14 @@ def stream_replay(spark, sf_dir):
     path = weekly.run_weekly_stream(spark, _events_path(sf_dir), keys=KEYS)
     weekly.run_weekly_stream(spark, _events_path(sf_dir), store_path=path, keys=KEYS, only_new=True)
     return _as_double(weekly.read_upserted(spark, path, KEYS))
+
+
+@query("stream_features", f"with {q.SALES_LINES}, {q.weekly(7)}, {q.features((1, 2, 3, 52), 1)} select * from features")
+def stream_features(spark, sf_dir):
+    """The feature table kept by a stateful stream over four files of lines in no order; equals ``feature_table``."""
+    lines = views.sales(spark, sf_dir).select("fecha", "familia", "n_factura", "base_imponible")
+    path = store.new_location(spark, "lines")
+    part = F.pmod(F.xxhash64("n_factura"), F.lit(4)).cast("int")
+    lines.drop("n_factura").withColumn("_p", part).repartition(4, "_p").drop("_p").write.parquet(path)
+    schema = spark.read.parquet(path).schema
+    return features.read_features(spark, features.run_feature_stream(spark, path, schema))

@@ -54,8 +54,12 @@ def sales_lines(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> Da
     so the plan has one shuffle join (or a broadcast when ``part`` is small
     enough for AQE) and reads five lineitem columns.
     """
-    li = table(spark, sf_dir, "lineitem")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_name")
+    return lines_of(table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "part"), with_keys)
+
+
+def lines_of(li: DataFrame, part: DataFrame, with_keys: bool = False) -> DataFrame:
+    """Invoice lines with family from a line table and a part table."""
+    part = part.select("p_partkey", "p_type", "p_name")
     df = li.join(part, li.l_partkey == part.p_partkey)
     cols = [
         F.to_date("l_shipdate").alias("fecha"),
