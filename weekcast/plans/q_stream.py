@@ -46,6 +46,6 @@ def stream_features(spark, sf_dir):
     lines = views.sales(spark, sf_dir).select("fecha", "familia", "n_factura", "base_imponible")
     path = store.new_location(spark, "lines")
     part = F.pmod(F.xxhash64("n_factura"), F.lit(4)).cast("int")
-    lines.drop("n_factura").withColumn("_p", part).repartition(4, "_p").drop("_p").write.parquet(path)
+    lines.withColumn("_p", part).repartition(4, "_p").drop("_p", "n_factura").write.parquet(path)
     schema = spark.read.parquet(path).schema
     return features.read_features(spark, features.run_feature_stream(spark, path, schema))
