@@ -182,7 +182,7 @@ def value_lists(df: DataFrame, fewer_than: int = 10) -> DataFrame:
     about = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in names]).first()  # one row
     few = [c for c in names if about[c] < 2 * fewer_than]  # the estimate is off by a few percent at most
     if not few:
-        few = names[:1]
+        return df.sparkSession.createDataFrame([], "column_name string, value string, n bigint")
     pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in few])
     counts = df.select(F.explode(pairs).alias("_p")).select("_p.*").where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
     kept = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("_k")).where(F.col("_k") < fewer_than)
@@ -217,5 +217,5 @@ def top_k(df: DataFrame, k: int, value_col: str, key_col: str) -> DataFrame:
 
 
 def restrict_to(df: DataFrame, keys: DataFrame, key_col: str) -> DataFrame:
-    """O3: rows whose key is in a bounded key set (a top-k result), as a semi join."""
-    return df.join(F.broadcast(keys.select(key_col)), key_col, "left_semi")
+    """O3: rows whose key is in a key set (a top-k result), as a semi join; the set is broadcast only if its size is bounded."""
+    return join_small(df, keys.select(key_col), key_col, "left_semi")
