@@ -92,17 +92,17 @@ class Units:
 
     def triples(self) -> Iterator[tuple[np.ndarray, np.ndarray, float, bool]]:
         """(place of the first character, triple, weight, whether it crosses a blank) for each shape of triple."""
-        word = np.cumsum(self.inside & ~np.concatenate([[False], self.inside[:-1]]))
+        word = np.cumsum(self.inside & ~np.concatenate([[False], self.inside[:-1]]), dtype=np.int32)
         letter = self.inside & (self.chars > 0)
-        on = np.concatenate([[False], self.joined])  # by number of word, from 1
+        on_at = np.concatenate([[False], self.joined])[word]  # words are numbered from 1
         n = len(word)
         for j, k in _PAIRS:
             if n <= k:
                 continue
-            at = np.flatnonzero(letter[: n - k] & letter[k:] & letter[j : n - k + j])
-            ends = word[at + k] - word[at]
+            three = letter[: n - k] & letter[k:] & letter[j : n - k + j]
+            ends = word[k:] - word[: n - k]
             for cross in (False, True):
-                own = at[(ends == 1) & on[word[at]]] if cross else at[ends == 0]
+                own = np.flatnonzero(three & (ends == 1) & on_at[: n - k]) if cross else np.flatnonzero(three & (ends == 0))
                 yield own, (self.chars[own] * LETTERS + self.chars[own + j]) * LETTERS + self.chars[own + k], DECAY ** (k + 1), cross
 
 
@@ -136,15 +136,15 @@ class Machine:
         n = len(u.first)
         if not n:
             return u, []
-        sums = []
         edges = np.stack([u.first, u.last], 1).ravel()
-        for cross in (False, True):
-            total, square = np.zeros(len(u.chars) + 1), np.zeros(len(u.chars) + 1)
-            for at, triple, weight, crosses in u.triples():
-                if crosses == cross:
-                    total[at] += weight * self.weight[triple]
-                    square[at] += weight * weight
-            sums += [np.add.reduceat(total, edges)[::2], np.add.reduceat(square, edges)[::2]]
+        # sums by first character: triples within a word, then those across a blank
+        size = len(u.chars) + 1
+        total, square = np.zeros(2 * size, np.float32), np.zeros(2 * size, np.float32)
+        for at, triple, weight, crosses in u.triples():
+            at = at + size if crosses else at
+            total[at] += np.float32(weight) * self.weight[triple]
+            square[at] += np.float32(weight * weight)
+        sums = [np.add.reduceat(x[a : a + size], edges, dtype=np.float64)[::2] for a in (0, size) for x in (total, square)]
         s, q, s_on, q_on = sums
         whole, norm, ok = s.copy(), q.copy(), np.ones(n, bool)
         out = [whole / np.maximum(np.sqrt(norm), 1e-6) + self.bias]
