@@ -41,8 +41,8 @@ ENCODINGS = {
 COLUMNS = "doc_id {}, n_tokens bigint, ids array<int>, shard int, row bigint, begin bigint"
 #: Documents of one file at most, on average.
 DOCS_PER_FILE = 100_000
-#: Words that a task remembers; beyond that it starts anew.
-WORDS_KEPT = 700_000
+#: Words of each half of a task's memory; when one is full the older half is forgotten.
+WORDS_KEPT = 600_000
 _PLAIN = re.compile("( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)([.,!]*)")
 
 
@@ -65,9 +65,10 @@ class Encoder(dict):
 
         self.whole = Tokenizer.from_file(path)
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
-        self.model = self.whole.model
+        self.tokenize = self.whole.model.tokenize
         self.letters = _byte_letters()
         self.ends: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def by_library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
@@ -76,6 +77,16 @@ class Encoder(dict):
         """A bare key is a word with the blank before it, "\\n..." one after a line end, " ..." the first of a text."""
         if not key:
             raise _Odd
+        if (out := self.old.get(key)) is not None:
+            self[key] = out
+            return out
+        if key.isascii():  # most keys: letters alone, or with one mark after them
+            if key.isalpha():
+                out = self[key] = array("I", [t.id for t in self.tokenize("\u0120" + key)]).tobytes()
+                return out
+            if key[-1] in ".,!" and key[:-1].isalpha():
+                out = self[key] = self[key[:-1]] + self.part(key[-1])
+                return out
         line, bare = ("\n", key[1:]) if key[0] == "\n" else ("", key[1:] if key[0] == " " else " " + key)
         if m := _PLAIN.fullmatch(bare):  # pre-tokens: a word of letters with its blank, then punctuation
             word, end = m.groups()
@@ -83,7 +94,7 @@ class Encoder(dict):
                 out = self.part(line) + self[word[1:] if word[0] == " " else " " + word] + self.part(end)
             else:
                 seen = word.encode().decode("latin-1").translate(self.letters)
-                out = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+                out = array("I", [t.id for t in self.tokenize(seen)]).tobytes()
         else:
             own = bare.lstrip(" ")
             if own and own.split() != [own]:
@@ -100,7 +111,8 @@ class Encoder(dict):
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        if len(self) > WORDS_KEPT:
+        if len(self) > WORDS_KEPT:  # words that are met again move on from the old to the new half
+            self.old = dict(self)
             self.clear()
         look, out = self.__getitem__, []
         lines = text.split("\n")
