@@ -77,3 +77,10 @@ def test_a_ring_bounds_the_state(spark, tmp_path):
     assert got == {k: v[-1] for k, v in expected(spark, rows, (1, 2, 4)).items()}
     with pytest.raises(ValueError, match="ring"):
         features.feature_stream(spark.createDataFrame(rows, SCHEMA), lags=(1, 52), keep_weeks=50)
+
+
+def test_a_stream_without_a_complete_row(spark, tmp_path):
+    folder = str(tmp_path / "in")
+    write_parts(spark, [lines(2)], folder)
+    store = features.run_feature_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema, str(tmp_path / "store"), lags=(4,))
+    assert features.read_features(spark, store, (4,)).count() == 0

@@ -27,7 +27,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..functions import calendar as cal
 from ..session import ship
 from ..sources.store import new_location
-from .weekly import next_batch_id, read_upserted, upsert_batch
+from .weekly import _exists, next_batch_id, read_upserted, upsert_batch
 
 EPOCH = dt.date(1970, 1, 1)
 FULL_WEEK = 127
@@ -63,14 +63,18 @@ def feature_rows(weeks: dict, lags, horizon: int, scale: int = 4) -> dict:
     return out
 
 
+def schema_of(lags) -> str:
+    return "familia string, week_start date, base_imponible double, " + "".join(f"base_imponible_lag{k} double, " for k in lags) + "is_summer_peak int, is_easter int, target double"
+
+
 def feature_stream(lines: DataFrame, lags=(1, 2, 3, 52), horizon: int = 1, keep_weeks: int | None = None, **columns) -> DataFrame:
     """Stream of changed feature rows (familia, week_start, base_imponible, lags, flags, target) in update mode."""
     ship(lines.sparkSession)
     lags = tuple(lags)
     if keep_weeks is not None and keep_weeks <= max(lags, default=0) + horizon:
         raise ValueError("a ring must hold more weeks than the longest lag and the horizon")
-    names = ["familia", "week_start", "base_imponible", *[f"base_imponible_lag{k}" for k in lags], "is_summer_peak", "is_easter", "target"]
-    out = "familia string, week_start date, base_imponible double, " + "".join(f"base_imponible_lag{k} double, " for k in lags) + "is_summer_peak int, is_easter int, target double"
+    out = schema_of(lags)
+    names = [c.split()[0] for c in out.split(", ")]
 
     def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         weeks = {w: [t, d, s, e] for w, t, d, s, e in zip(*state.get)} if state.exists else {}
@@ -109,5 +113,8 @@ def run_feature_stream(spark: SparkSession, source: str, schema, store_path: str
     return store_path
 
 
-def read_features(spark: SparkSession, store_path: str) -> DataFrame:
+def read_features(spark: SparkSession, store_path: str, lags=(1, 2, 3, 52)) -> DataFrame:
+    """The newest row of every family and week; a stream without a complete row has written no store yet."""
+    if not _exists(spark, store_path):
+        return spark.createDataFrame([], schema_of(lags))
     return read_upserted(spark, store_path, ("familia", "week_start"))
