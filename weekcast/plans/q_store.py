@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import features
-from ..sources import keyed, store
+from ..sources import clustered, keyed, store
 from . import sqltext as q
 from . import views
 from .catalog import query
@@ -273,3 +273,36 @@ def sample_row(spark, sf_dir):
     ft = features.feature_table(_weekly(spark, sf_dir), (1, 2, 3, 52), 1)
     mark = F.md5(F.concat_ws("|", "familia", F.date_format("week_start", "yyyy-MM-dd")).cast("binary"))
     return ft.orderBy(mark, "familia", "week_start").limit(1)
+
+
+def _clustered(spark, sf_dir):
+    path = store.new_location(spark, "clustered")
+    clustered.write_clustered(views.sales(spark, sf_dir), path)
+    return path
+
+
+@query(
+    "clustered_scan",
+    f"""with {q.SALES_LINES}
+select fecha, familia, count(*) as n_rows, cast(sum(base_imponible) as double) as base_imponible, cast(sum(total) as double) as total
+from sales where fecha between date '1995-06-01' and date '1996-03-31' and familia in ('PROMO', 'SMALL') group by all""",
+)
+def clustered_scan(spark, sf_dir):
+    """A date range of two families from lines clustered by day and family."""
+    found = clustered.scan(spark, _clustered(spark, sf_dir), "1995-06-01", "1996-03-31", families=["PROMO", "SMALL"])
+    sums = [F.sum(c).cast("double").alias(c) for c in ("base_imponible", "total")]
+    return found.groupBy("fecha", "familia").agg(F.count(F.lit(1)).alias("n_rows"), *sums)
+
+
+@query(
+    "clustered_lookup",
+    f"""with {q.SALES_LINES}
+select n_factura, fecha, familia, cast(base_imponible as double) as base_imponible
+from sales where n_factura = (select n_factura from sales order by total desc, n_factura limit 1)""",
+)
+def clustered_lookup(spark, sf_dir):
+    """The lines of the invoice with the dearest line, found by Bloom filters of row groups ordered by day and family."""
+    path = _clustered(spark, sf_dir)
+    dearest = spark.read.parquet(path).orderBy(F.desc("total"), "n_factura").select("n_factura").first()
+    found = clustered.scan(spark, path, invoices=[r for r in dearest or []])
+    return found.select("n_factura", "fecha", "familia", F.col("base_imponible").cast("double").alias("base_imponible"))
