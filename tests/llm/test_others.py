@@ -104,6 +104,29 @@ def test_seeds_reach_passages_of_four_fifths(spark, docs):
     assert got == {(2 * i + 1, 2 * i) for i in range(40)}
 
 
+def test_bit_table_alignment_and_sift_against_plain_ones():
+    rnd, seen = random.Random(21), np.zeros(1 << 16, bool)
+    for _ in range(400):
+        v = rnd.choice([3, 20, 400])
+        a = np.array([rnd.randrange(v) for _ in range(rnd.randint(0, 70))], np.int64)
+        b = np.array([x if rnd.random() < 0.8 else rnd.randrange(v) for x in a[rnd.randint(0, 4) :]] + [rnd.randrange(v) for _ in range(rnd.randint(0, 8))], np.int64)
+        if len(a) and len(b) and not (len(a) == len(b) and (a == b).all()):
+            assert passages.equal_runs(a, b) == passages._banded_runs(a, b, 1000)
+        for least in (1, 8, 50):
+            short = [x.astype(np.uint16) for x in (a, b)]
+            assert passages.hopeful(*short, seen, least, 0.8) >= passages.may_hold(a, b, least, 0.8) and not seen.any()
+
+
+def test_short_chains_of_the_same_words_are_gathered(spark, docs):
+    spans = [(4 + i, 9 + i, 124, 129) for i in range(20)] + [(0, 200, 0, 200), (300, 305, 300, 305)]
+    assert sorted(passages.gathered(spans, 25)) == [(0, 200, 0, 200), (4, 28, 124, 129), (300, 305, 300, 305)]
+    rnd = random.Random(22)
+    p = sentence(rnd, 60)
+    rows = [(1, "na " * 300 + p), (2, sentence(rnd, 30) + " " + p + " na" * 200)]
+    got = {(r.doc_id, r.other_id, r.first_word, r.words) for r in passages.repeated(docs(rows)).collect()}
+    assert (2, 1, 30, 60) in got and any(first >= 90 for _, _, first, _ in got)
+
+
 def test_sub_runs_of_an_alignment_against_brute_force():
     rnd = random.Random(15)
     for _ in range(200):
