@@ -61,3 +61,10 @@ def test_previous_week_window(spark):
     lo, hi = cal.previous_week_window(F.lit("2001-10-31").cast("date"))
     r = spark.range(1).select(lo.alias("lo"), hi.alias("hi")).first()
     assert (r.lo, r.hi) == (dt.date(2001, 10, 22), dt.date(2001, 10, 28))
+
+
+def test_the_easter_expression_stays_small(spark):
+    # each use of the year is computed again for each row
+    days = spark.sql("select date'2024-03-31' as d").where(cal.is_holy_week("d") == 1)
+    plan = days._jdf.queryExecution().analyzed().toString()
+    assert plan.count("year(") < 20 and days.count() == 1

@@ -67,7 +67,11 @@ def is_weekend(c) -> Column:
 
 
 def easter_sunday(year) -> Column:
-    """Gregorian Easter Sunday of a year column (anonymous Gregorian computus)."""
+    """Gregorian Easter Sunday of a year column (anonymous Gregorian computus).
+
+    An expression has no variables: every use of a part repeats it for each
+    row, so parts are used as seldom as can be.
+    """
     y = _c(year).cast("int")
 
     def div(a, b):
@@ -75,25 +79,18 @@ def easter_sunday(year) -> Column:
 
     a = y % 19
     b = div(y, 100)
-    c = y % 100
-    d = div(b, 4)
-    e = b % 4
     f = div(b + 8, 25)
     g = div(b - f + 1, 3)
-    h = (a * 19 + b - d - g + 15) % 30
-    i = div(c, 4)
-    k = c % 4
-    l_ = (e * 2 + i * 2 - h - k + 32) % 7
-    m = div(a + h * 11 + l_ * 22, 451)
-    n = h + l_ - m * 7 + 114
-    return F.make_date(y, div(n, 31), n % 31 + 1)
+    h = (a * 19 + b - div(b, 4) - g + 15) % 30
+    # the full moon is on 21 March + h, a day less for the latest ones; Easter is the next Sunday
+    moon = F.date_add(F.make_date(y, F.lit(3), F.lit(21)), h - div(a + h * 11, 319))
+    return F.next_day(moon, "Sunday")
 
 
 def is_holy_week(c) -> Column:
     """1 on Monday … Easter Sunday of the date's own year (the ISO week of Easter)."""
     d = as_date(c)
-    easter = easter_sunday(F.year(d))
-    return d.between(F.date_sub(easter, 6), easter).cast("int")
+    return F.date_diff(easter_sunday(F.year(d)), d).isin(*range(7)).cast("int")
 
 
 def is_easter_window(c) -> Column:
