@@ -84,3 +84,50 @@ def test_a_stream_without_a_complete_row(spark, tmp_path):
     write_parts(spark, [lines(2)], folder)
     store = features.run_feature_stream(spark, folder, spark.createDataFrame([], SCHEMA).schema, str(tmp_path / "store"), lags=(4,))
     assert features.read_features(spark, store, (4,)).count() == 0
+
+
+def test_a_task_sums_its_lines_over_all_batches(spark):
+    rows = spark.range(0, 30_000, 1, 1).selectExpr("date'2024-01-01' as fecha", "'A' as familia", "cast(1 as decimal(18,4)) as base_imponible")
+    assert [tuple(r) for r in features.line_weeks(rows).select("family", "day", "total").collect()] == [("A", 1, 30_000 * 10**4)]
+
+
+def test_very_many_sums_are_sent_before_the_task_ends(spark, monkeypatch):
+    monkeypatch.setattr(features, "MAX_SUMS", 50)
+    rows = [(MONDAY + dt.timedelta(days=i % 300), "AB"[i % 2], Decimal(i)) for i in range(1000)]
+    got = {}
+    for r in features.line_weeks(spark.createDataFrame(rows, SCHEMA)).collect():
+        key = r.family, r.week, r.day
+        got[key] = got.get(key, 0) + r.total
+    want = {}
+    for d, f, v in rows:
+        key = f, (d - features.EPOCH).days - d.weekday(), 1 << d.weekday()
+        want[key] = want.get(key, 0) + int(v) * 10**4
+    assert got == want
+
+
+def test_no_task_writes_or_reads_a_quarter_of_the_lines(spark, tmp_path, monkeypatch):
+    from weekcast.plans import q_stream
+
+    li = spark.range(0, 4000, 1, 8).selectExpr(
+        "id as l_orderkey", "id % 10 as l_partkey", "1.0d as l_quantity", "10.0d as l_extendedprice", "0.0d as l_discount", "0.0d as l_tax", "timestamp'2024-01-01 00:00:00' as l_shipdate")
+    li.write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.range(10).selectExpr("id as p_partkey", "'A' as p_type", "'n' as p_name").write.parquet(str(tmp_path / "part.parquet"))
+    seen = {}
+
+    def run(spark, path, schema, files_per_batch=1):
+        seen.update(path=path, files=files_per_batch)
+
+    monkeypatch.setattr(q_stream.features, "run_feature_stream", run)
+    monkeypatch.setattr(q_stream.features, "read_features", lambda spark, store: None)
+    q_stream.stream_features(spark, str(tmp_path))
+    lines = spark.read.parquet(seen["path"])
+    per_file = [r["count"] for r in lines.groupBy(F.input_file_name()).count().collect()]
+    assert sum(per_file) == 4000 and max(per_file) < 1000 and 4 * (seen["files"] - 1) < len(per_file) <= 4 * seen["files"]
+
+
+def test_the_query_on_tables_without_lines(spark, tmp_path):
+    from weekcast.plans import q_stream
+
+    spark.sql("select 1L as l_orderkey, 1L as l_partkey, 1.0d as l_quantity, 10.0d as l_extendedprice, 0.0d as l_discount, 0.0d as l_tax, timestamp'2024-01-01 00:00:00' as l_shipdate").where("false").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.sql("select 1L as p_partkey, 'A' as p_type, 'n' as p_name").write.parquet(str(tmp_path / "part.parquet"))
+    assert q_stream.stream_features(spark, str(tmp_path)).count() == 0

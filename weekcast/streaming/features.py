@@ -6,9 +6,9 @@ the feature rows that differ from those before it are emitted, no others,
 and upserted into a keyed store.  So after any split of the lines into
 micro-batches, late ones included, the store equals the batch feature table.
 
-Lines are summed to (family, day of a week) inside each Arrow batch before
-they are dealt by family, so a family with a third of the lines sends a few
-rows for each batch.  A ring of ``keep_weeks`` bounds the state: weeks that
+Lines are summed to (family, day of a week) inside each task before they are
+dealt by family, so a family with a third of the lines sends a row for each
+of its days and task.  A ring of ``keep_weeks`` bounds the state: weeks that
 are older than that are finished; their rows stay in the store and later
 lines for them are left out (as behind a watermark).  ``None`` keeps all.
 """
@@ -31,11 +31,12 @@ from .weekly import _exists, next_batch_id, read_upserted, upsert_batch
 
 EPOCH = dt.date(1970, 1, 1)
 FULL_WEEK = 127
+MAX_SUMS = 500_000  # rows a task holds before it sends them
 STATE = "week array<int>, total array<bigint>, days array<int>, summer array<int>, easter array<int>"
 
 
 def line_weeks(lines: DataFrame, date_col: str = "fecha", family_col: str = "familia", value_col: str = "base_imponible", scale: int = 4) -> DataFrame:
-    """(family, week as days since 1970, day bit, flags, sum in units of 10**-scale), summed within each Arrow batch."""
+    """(family, week as days since 1970, day bit, flags, sum in units of 10**-scale), summed within each task."""
     flagged = cal.add_calendar_flags(lines, date_col) if "is_easter" not in lines.columns else lines
     d = F.col(date_col)
     rows = flagged.select(
@@ -45,9 +46,22 @@ def line_weeks(lines: DataFrame, date_col: str = "fecha", family_col: str = "fam
 
     def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys = ["family", "week", "day"]
+
+        def summed(parts: list[pa.Table]) -> pa.Table:
+            found = pa.concat_tables(parts).group_by(keys, use_threads=False).aggregate([("summer", "max"), ("easter", "max"), ("total", "sum")])
+            return found.select([*keys, "summer_max", "easter_max", "total_sum"]).rename_columns([*keys, "summer", "easter", "total"])
+
+        held, n = [], 0
         for batch in batches:
-            found = pa.Table.from_batches([batch]).group_by(keys, use_threads=False).aggregate([("summer", "max"), ("easter", "max"), ("total", "sum")])
-            yield from found.select([*keys, "summer_max", "easter_max", "total_sum"]).rename_columns([*keys, "summer", "easter", "total"]).to_batches()
+            held.append(summed([pa.Table.from_batches([batch])]))
+            n += held[-1].num_rows
+            if n >= MAX_SUMS:  # one sum for each key; very many keys go on as they are
+                held = [summed(held)]
+                if held[0].num_rows > MAX_SUMS // 2:
+                    yield from held.pop().to_batches()
+                n = sum(t.num_rows for t in held)
+        if held:
+            yield from summed(held).to_batches(100_000)
 
     return rows.mapInArrow(combine, "family string, week int, day int, summer int, easter int, total bigint")
 
