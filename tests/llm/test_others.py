@@ -158,6 +158,31 @@ def test_a_passage_whose_halves_have_other_first_places(spark, docs):
     assert got == [(i, 40, 60, 10) for i in range(11, 21)]
 
 
+def test_a_changed_passage_of_common_phrases_links_its_documents(spark, docs, monkeypatch):
+    monkeypatch.setattr(passages, "BLOCK", 3)  # several blocks a seed
+    rnd = random.Random(31)
+    own = lambda i, n: " ".join(f"own{i}x{j}x{n}" for j in range(n))
+    phrases = [sentence(rnd, 10, f"c{i}x") for i in range(6)]
+    rows = [(i, own(i, 20) + " " + phrases[i % 6] + " " + own(i, 21)) for i in range(60)]  # each phrase in ten documents
+    p = " ".join(phrases).split()
+    for i, at in ((100, ()), (101, (25,)), (102, (12, 44))):
+        words = [f"new{i}" if n in at else w for n, w in enumerate(p)]
+        rows.append((i, own(i, 30) + " " + " ".join(words) + " " + own(i, 31)))
+    got = {(r.doc_id, r.other_id) for r in passages.repeated(docs(rows)).collect()}
+    assert got == {(101, 100), (102, 100), (102, 101)}
+
+
+def test_outside_and_likely_pairs_against_brute_force():
+    rnd = np.random.default_rng(32)
+    for _ in range(50):
+        pos, run = rnd.integers(0, 200, 40), rnd.integers(0, 200, int(rnd.integers(0, 4)))
+        assert passages.outside(pos, run, 50).tolist() == [not any(r <= p and p + passages.K <= r + 50 for r in run) for p in pos]
+    seen = np.zeros(1 << 16, bool)
+    a, b = ([rnd.integers(0, 60, int(n)).astype(np.uint16) for n in rnd.integers(0, 40, 30)] for _ in range(2))
+    want = [(i, j) for i in range(30) for j in range(30) if passages.hopeful(a[i], b[j], seen, 8, 0.8)]
+    assert want and sorted(passages.likely_pairs(a, b, np.ones((30, 30), bool), seen, 8, 0.8)) == want
+
+
 def test_texts_that_share_an_id_are_documents_of_their_own(spark, docs):
     rnd = random.Random(21)
     x, p = sentence(rnd, 80, "x"), sentence(rnd, 70, "p")
