@@ -23,3 +23,18 @@ def test_no_cross_products(spark, name):
     df = entry.queries()[name](spark, SF_CHECK if name in LEARNING else SF_SMALL)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert not [f for f in FORBIDDEN if f in plan], plan[:2000]
+
+
+def test_column_profile_keeps_one_columns_values_at_a_time(spark):
+    """No table of all columns' texts is grouped; nulls and signed zeros count as before, with and without rows."""
+    from weekcast.operators import explore
+
+    rows = spark.sql(
+        "select * from values (1L, 'a', 1.50, 0.0d, date'2001-01-01'), (1L, null, 1.50, -0.0d, null), (2L, 'b', null, null, date'2001-01-02'),"
+        " (null, 'b', 2.25, 0.0d, date'2001-01-02') t(n, s, amount, x, d)"
+    )
+    profile = explore.column_profile(rows)
+    assert "explode(" not in profile._jdf.queryExecution().executedPlan().toString()
+    for found in (profile, explore.column_profile(rows, exact=False)):
+        assert {r["column_name"]: (r["n_distinct"], r["n_null"]) for r in found.collect()} == {"n": (2, 1), "s": (2, 1), "amount": (2, 1), "x": (2, 1), "d": (2, 1)}
+    assert {r["n_distinct"] for r in explore.column_profile(rows.where("n > 5")).collect()} == {0}

@@ -9,6 +9,8 @@ families or weeks × families), whose size does not grow with raw volume;
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -125,24 +127,35 @@ def nulls_by_group(df: DataFrame, keys, cols) -> DataFrame:
     return df.groupBy(*keys).agg(*[F.count_if(F.col(c).isNull()).cast("bigint").alias(f"null_{c}") for c in cols])
 
 
+def _distinct_count(df: DataFrame, name: str, kind: str) -> DataFrame:
+    """column_name, n_distinct of one column (nulls are no value).
+
+    Types whose texts may tell more or fewer values apart (floats' signed
+    zeros, timestamps) are compared as texts.
+    """
+    v = F.col(name)
+    if not kind.startswith(("decimal", "int", "bigint", "smallint", "tinyint", "boolean", "date", "string")) or kind.startswith("interval"):
+        v = v.cast("string")
+    values = df.select(v.alias("v")).where("v is not null").distinct()
+    return values.agg(F.count(F.lit(1)).alias("n_distinct")).select(F.lit(name).alias("column_name"), "n_distinct")
+
+
 def column_profile(df: DataFrame, exact: bool = True) -> DataFrame:
     """Per column — distinct and null counts, text min/max, numeric min/max/mean (long format).
 
-    Distinct counts come from one long (column, value) table grouped by
-    column — a single hash-based distinct aggregation instead of one Expand
-    copy of every row per column.  The other statistics are one plain global
-    aggregate, unpivoted with ``stack``; the two 1-row-per-column results
-    are joined on the column name.  ``exact=False`` swaps in HyperLogLog++
-    distinct counts for very wide, high-cardinality tables.
+    Every column is counted by a distinct aggregation of its own, over a scan
+    of that column alone: a task holds one column's values in their own type,
+    not the texts of all columns at once.  The other statistics are one plain
+    global aggregate, unpivoted with ``stack``; the two 1-row-per-column
+    results are joined on the column name.  ``exact=False`` swaps in
+    HyperLogLog++ distinct counts for very wide, high-cardinality tables.
     """
-    names = [c for c, _ in df.dtypes]
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in names])
-    distinct = (
-        df.select(F.explode(pairs).alias("_p"))
-        .select("_p.column_name", "_p.v")
-        .groupBy("column_name")
-        .agg((F.count_distinct("v") if exact else F.approx_count_distinct("v")).cast("bigint").alias("n_distinct"))
-    )
+    if exact:
+        distinct = reduce(DataFrame.union, [_distinct_count(df, c, t) for c, t in df.dtypes])
+    else:
+        about = df.agg(*[F.approx_count_distinct(F.col(c).cast("string")).alias(c) for c in df.columns])
+        pairs = ", ".join(f"'{c}', `{c}`" for c in df.columns)
+        distinct = about.select(F.expr(f"stack({len(df.columns)}, {pairs}) as (column_name, n_distinct)"))
     aggs, rows = [], []
     for i, (c, t) in enumerate(df.dtypes):
         numeric = t.startswith(("decimal", "double", "float", "int", "bigint", "smallint"))

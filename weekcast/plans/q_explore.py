@@ -247,7 +247,7 @@ from sales_dirty"""
 
 @query("column_profile", _profile_sql())
 def column_profile(spark, sf_dir):
-    """distinct/null counts and ranges of every column in one aggregation."""
+    """Distinct and null counts and ranges of every column."""
     return explore.column_profile(_dirty(spark, sf_dir))
 
 
