@@ -28,6 +28,20 @@ def test_encoder_equals_library():
         assert np.frombuffer(enc.encode(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids, t
 
 
+def test_plain_words_are_told_without_a_pattern(monkeypatch):
+    """Words of A-Z with their punctuation, most of a text, take the short way; the ids are the library's."""
+
+    class Never:
+        def fullmatch(self, text):
+            raise AssertionError(text)
+
+    enc, lib = token_files.Encoder(queries.tokenizer_path()), library()
+    monkeypatch.setattr(token_files, "_PLAIN", Never())
+    text = " said nothing, Haanth. Reoush! enbeschst.,!! A a. ZZZ,a".rsplit(",", 1)[0]
+    words = text.split(" ")[1:]
+    assert np.frombuffer(b"".join(map(enc.__getitem__, words)), "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_digest_of_the_given_table(spark):
     got = {r.doc_id: (r.start, r.n_tokens, r.ids_crc32) for r in queries.op3_token_files(spark, SF_SMALL).collect()}
     lib, start = library(), 0

@@ -67,8 +67,13 @@ class Encoder(dict):
         self.whole.encode_special_tokens = True  # their strings in a text are ordinary text
         self.model = self.whole.model
         self.letters = _byte_letters()
+        self.blank = self.letters[ord(" ")]
         self.ends: dict[str, bytes] = {}
 
+    def word(self, letters: str) -> bytes:
+        """One pre-token, in the letters of the vocabulary."""
+        return array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+
     def by_library(self, text: str) -> bytes:
         return array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes()
 
@@ -76,14 +81,17 @@ class Encoder(dict):
         """A bare key is a word with the blank before it, "\\n..." one after a line end, " ..." the first of a text."""
         if not key:
             raise _Odd
+        stem = key.rstrip(".,!")
+        if stem.isascii() and stem.isalpha():  # most words: a pre-token of a blank and letters that are written as they are
+            out = self[key] = self[stem] + self.part(key[len(stem) :]) if len(stem) < len(key) else self.word(self.blank + key)
+            return out
         line, bare = ("\n", key[1:]) if key[0] == "\n" else ("", key[1:] if key[0] == " " else " " + key)
         if m := _PLAIN.fullmatch(bare):  # pre-tokens: a word of letters with its blank, then punctuation
             word, end = m.groups()
             if end or line:
                 out = self.part(line) + self[word[1:] if word[0] == " " else " " + word] + self.part(end)
             else:
-                seen = word.encode().decode("latin-1").translate(self.letters)
-                out = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+                out = self.word(word.encode().decode("latin-1").translate(self.letters))
         else:
             own = bare.lstrip(" ")
             if own and own.split() != [own]:
