@@ -2,6 +2,7 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import duckdb
@@ -183,6 +184,19 @@ def test_outside_and_likely_pairs_against_brute_force():
     assert want and sorted(passages.likely_pairs(a, b, np.ones((30, 30), bool), seen, 8, 0.8)) == want
 
 
+def test_pairs_of_a_common_seed_are_held_in_part_only():
+    """All pairs of 800 like runs are given, but never held at once."""
+    rnd = np.random.default_rng(33)
+    run, seen, asked = rnd.integers(0, 1 << 16, 105).astype(np.uint16), np.zeros(1 << 16, bool), np.ones((800, 800), bool)
+    tracemalloc.start()
+    try:
+        n = sum(1 for _ in passages.likely_pairs([run] * 800, [run] * 800, asked, seen, 50, 0.8))
+        most = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert n == 640_000 and most < 25_000_000 and not seen.any()
+
+
 def test_texts_that_share_an_id_are_documents_of_their_own(spark, docs):
     rnd = random.Random(21)
     x, p = sentence(rnd, 80, "x"), sentence(rnd, 70, "p")
