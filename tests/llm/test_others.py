@@ -430,6 +430,31 @@ def test_topk_edge_cases_and_blocks_of_queries(spark, docs):
     assert topk.like_documents(docs([])).count() == 0
 
 
+def test_topk_scores_common_words_as_a_table_and_the_rest_by_postings():
+    rnd = np.random.default_rng(6)
+    terms = np.sort(rnd.choice(1 << 60, 400, replace=False).astype(np.uint64))
+    share = np.concatenate([np.full(40, 0.6), np.full(360, 0.02)])
+    has = rnd.random((300, 400)) < share
+    has[200:202], has[299] = has[7], False  # equal texts, and one without a word
+    counts = [rnd.integers(1, 4, 400)[h] if not 200 <= i < 202 else np.ones(h.sum(), np.int64) for i, h in enumerate(has)]
+    length = np.array([c.sum() for c in counts], float)
+    weight, queries = rnd.random(400) * 5, [np.flatnonzero(h) for h in has[::3]] + [np.zeros(0, int)]
+    asked = np.bincount(np.concatenate(queries), minlength=400)
+    ids = rnd.permutation(300)
+    shard = topk.Shard(ids, [terms[h] for h in has], counts, length, terms, weight, asked, len(queries), length.mean())
+    assert len(shard.table) == 40 and len(shard.post_doc) == has[:, 40:].sum()
+    impact = np.zeros((300, 400))
+    for i, (h, c) in enumerate(zip(has, counts)):
+        impact[i, h] = weight[h] * c * 2.2 / (c + 1.2 * (0.25 + 0.75 * length[i] / length.mean()))
+    for floor in (-np.inf, 20.0):
+        got = list(shard.search(queries, 10, np.full(len(queries), floor)))
+        assert len(got) == len(queries)
+        for query, (found, score) in zip(queries, got):
+            want = sorted((-round(s, 9), i) for i, s in zip(ids.tolist(), impact[:, query].sum(axis=1).tolist()) if s > 0)[:10]
+            n = sum(-s >= floor for s, _ in want)
+            assert found[:n].tolist() == [i for _, i in want[:n]] and np.allclose(score[:n], [-s for s, _ in want[:n]])
+
+
 # ---------------------------------------------------------------- op7
 
 
