@@ -128,6 +128,26 @@ def test_short_chains_of_the_same_words_are_gathered(spark, docs):
     assert (2, 1, 30, 60) in got and any(first >= 90 for _, _, first, _ in got)
 
 
+def test_pairs_left_out_lie_between_pairs_looked_at():
+    rnd, left_out, every = random.Random(23), 0, 0
+    for _ in range(60):
+        line = [(rnd.randrange(9), rnd.randint(1, 6)) for _ in range(rnd.randint(2, 8))]
+        texts = []
+        for _ in range(2):
+            rows = [x if rnd.random() < 0.97 else (rnd.randrange(9), rnd.randint(1, 20)) for _ in range(rnd.randint(1, 12)) for x in line]
+            texts.append((np.array([x for x, _ in rows]), np.cumsum([d for _, d in rows])))
+        (a, p), (b, q) = texts
+        (x, fixed), (y, _) = (passages.neighbours(*t) for t in texts)
+        same = a[:, None] == b
+        looked = same & (fixed[:, None] | (x[:, None] != y))
+        at = {(int(p[i]), int(q[j])) for i, j in zip(*np.nonzero(looked))}
+        reach = passages.CELL + passages.NEAR
+        for i, j in zip(*np.nonzero(same & ~looked)):
+            assert any((p[i] - d, q[j] - d) in at for d in range(1, reach + 1)) and any((p[i] + d, q[j] + d) in at for d in range(1, reach + 1))
+        left_out, every = left_out + int((same & ~looked).sum()), every + int(same.sum())
+    assert left_out > every / 4
+
+
 def test_sub_runs_of_an_alignment_against_brute_force():
     rnd = random.Random(15)
     for _ in range(200):
