@@ -1,5 +1,6 @@
 """op2, op4, op5, op6, op7, op8 against brute force or held-out labels, with their edge cases."""
 
+import pathlib
 import random
 import re
 import tracemalloc
@@ -7,6 +8,7 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -577,3 +579,58 @@ def test_mixing_edge_cases(spark, docs):
     assert mixing.document_rates(df, labels.limit(0), {"a": 1.0}).where("rate = 1").count() == df.count()
     assert mixing.document_rates(docs([]), labels, {"a": 1.0}).count() == 0
     assert mixing.mixed(docs([]), labels, {"a": 1.0}).count() == 0
+
+
+def test_steps_that_no_later_step_reads_leave_the_disk(spark, docs):
+    folder = pathlib.Path(common.shared_path(spark, "llm").removeprefix("file://"))
+    before = set(folder.glob("*"))
+    rnd = random.Random(41)
+    p = sentence(rnd, 60)
+    rows = [(i, f"own{i} " * 9 + p) for i in range(8)]
+    assert passages.repeated(docs(rows)).count() == 7
+    held = {f.name.split("-")[0]: spark.read.parquet(str(f)).count() for f in folder.glob("*") if f not in before}
+    assert held["words"] == 8 and held["runs"] and not any(held[s] for s in ("seeds", "places", "shared", "stretches", "common", "chains"))
+    assert spark.conf.get(common.CLEAN_SHUFFLES, "false") == "false"
+
+
+def test_shuffle_files_of_a_written_step_are_removed(spark):
+    # the files of another job's shuffle stay, so it is seen whether the written one's went
+    tracker = spark.sparkContext._jsc.sc().env().mapOutputTracker()
+    before = tracker.shuffleStatuses().size()
+    common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count().repartition(3, "k"), "grouped")
+    assert tracker.shuffleStatuses().size() <= before
+
+
+def test_sorted_groups_come_whole_from_batches_of_any_size():
+    rnd = random.Random(42)
+    for _ in range(50):
+        keys = sorted(rnd.choices(range(rnd.randint(1, 12)), k=rnd.randint(0, 40)))
+        table = pa.table({"k": pa.array([{"id": k // 2, "mark": k % 2} for k in keys], pa.struct([("id", pa.int64()), ("mark", pa.int64())])), "n": list(range(len(keys)))})
+        batches, at = [], 0
+        while at < len(keys):
+            size = rnd.randint(0, 7)
+            batches.append(pa.RecordBatch.from_pylist(table.slice(at, size).to_pylist(), table.schema))
+            at += size
+        parts = [p.column("k").to_pylist() for p in passages.whole_groups(iter(batches), ("k",))]
+        assert [k["id"] * 2 + k["mark"] for p in parts for k in p] == keys
+        seen = [{(k["id"], k["mark"]) for k in p} for p in parts]
+        assert sum(map(len, seen)) == len(set(keys)) and all(seen)
+
+
+def test_linked_places_of_two_documents_are_one_list(spark):
+    """A line that two texts repeat: its places are linked in lists, and chained as single matches are."""
+    rnd = np.random.default_rng(43)
+    run = rnd.integers(-9999, 9999, 60).astype(np.int16)
+    rows = [{"seed": 1, "low": 0, "high": 0, "own": 0, "doc_id": {"id": d, "mark": d}, "pos": 100 * i + d, "near": run, "beside": 100 * i + d, "fixed": True} for d in (3, 5) for i in range(20)]
+    kind = pa.struct([("id", pa.int64()), ("mark", pa.int64())])
+    kinds = {"doc_id": kind, "pos": pa.int32(), "near": pa.list_(pa.int16())}
+    table = pa.table({c: pa.array([r[c] for r in rows], kinds.get(c)) for c in rows[0]})
+    got = pa.Table.from_batches(passages._linked(table, 50, 0.8)).to_pylist()
+    assert len(got) == 2  # 400 matches, at most ``LISTED`` a row
+    assert all((r["doc_id"]["id"], r["other_id"]["id"], r["pos"], r["other_pos"]) == (5, 3, r["xs"][0], r["ys"][0]) for r in got)
+    matches = [m for r in got for m in zip(r["xs"], r["ys"])]
+    assert sorted(matches) == [(100 * i + 5, 100 * j + 3) for i in range(20) for j in range(20)]
+    single = [{"doc_id": {"id": 5, "mark": 5}, "other_id": {"id": 3, "mark": 3}, "pos": x, "other_pos": y, "xs": None, "ys": None} for x, y in matches]
+    schema = pa.schema([("doc_id", kind), ("other_id", kind), ("pos", pa.int32()), ("other_pos", pa.int32()), ("xs", pa.list_(pa.int32())), ("ys", pa.list_(pa.int32()))])
+    both = [pa.Table.from_batches(passages._chained(pa.Table.from_pylist(r, schema), 50)).to_pylist() for r in (got, single)]
+    assert both[0] and both[0] == both[1]
