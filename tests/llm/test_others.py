@@ -1,6 +1,5 @@
 """op2, op4, op5, op6, op7, op8 against brute force or held-out labels, with their edge cases."""
 
-import pathlib
 import random
 import re
 import tracemalloc
@@ -581,15 +580,16 @@ def test_mixing_edge_cases(spark, docs):
     assert mixing.mixed(docs([]), labels, {"a": 1.0}).count() == 0
 
 
-def test_steps_that_no_later_step_reads_leave_the_disk(spark, docs):
-    folder = pathlib.Path(common.shared_path(spark, "llm").removeprefix("file://"))
-    before = set(folder.glob("*"))
+def test_steps_that_no_later_step_reads_leave_the_disk(spark, docs, monkeypatch):
+    made, write = {}, common.written
+    monkeypatch.setattr(common, "written", lambda df, name, **options: made.setdefault(name, write(df, name, **options)))
     rnd = random.Random(41)
     p = sentence(rnd, 60)
     rows = [(i, f"own{i} " * 9 + p) for i in range(8)]
     assert passages.repeated(docs(rows)).count() == 7
-    held = {f.name.split("-")[0]: spark.read.parquet(str(f)).count() for f in folder.glob("*") if f not in before}
-    assert held["words"] == 8 and held["runs"] and not any(held[s] for s in ("seeds", "places", "shared", "stretches", "common", "chains"))
+    held = {name: spark.read.parquet(df.inputFiles()[0].rsplit("/", 1)[0]).count() for name, df in made.items()}
+    assert held["words"] == 8 and held["runs"]
+    assert not any(held[s] for s in ("seeds", "places", "shared", "stretches", "common", "chains")), held
     assert spark.conf.get(common.CLEAN_SHUFFLES, "false") == "false"
 
 
