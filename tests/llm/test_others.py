@@ -149,6 +149,21 @@ def test_pairs_left_out_lie_between_pairs_looked_at():
     assert left_out > every / 4
 
 
+def test_alignment_of_long_runs_looks_at_all_pairs_of_places(monkeypatch):
+    words = np.arange(34_000, dtype=np.int64)
+    shared, own, other = words[:10_000], words[10_000:22_000], words[22_000:]
+    a, b = np.concatenate([own, shared]), np.concatenate([shared, other])  # more pairs than a table holds at once
+    assert passages.equal_runs(a, b) == [(12_000, 0, 10_000)]
+    rnd, held = random.Random(22), passages.TABLE_BITS
+    for _ in range(200):
+        a, b = (np.array([rnd.randrange(rnd.choice([3, 40])) for _ in range(rnd.randint(0, 50))], np.int64) for _ in range(2))
+        monkeypatch.setattr(passages, "TABLE_BITS", held)
+        whole = passages.equal_runs(a, b)
+        for bits in (1, 30, 300):
+            monkeypatch.setattr(passages, "TABLE_BITS", bits)
+            assert passages.equal_runs(a, b) == whole
+
+
 def test_sub_runs_of_an_alignment_against_brute_force():
     rnd = random.Random(15)
     for _ in range(200):
