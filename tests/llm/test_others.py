@@ -4,6 +4,7 @@ import random
 import re
 import tracemalloc
 from collections import Counter
+from types import SimpleNamespace
 
 import duckdb
 import numpy as np
@@ -491,6 +492,34 @@ def test_topk_scores_common_words_as_a_table_and_the_rest_by_postings():
             assert found[:n].tolist() == [i for _, i in want[:n]] and np.allclose(score[:n], [-s for s, _ in want[:n]])
 
 
+def test_topk_task_gives_the_best_of_all_its_shards(monkeypatch):
+    rnd = np.random.default_rng(7)
+    terms = np.sort(rnd.choice(1 << 60, 300, replace=False).astype(np.uint64))
+    has = rnd.random((400, 300)) < 0.1
+    words, counts = pa.array([terms[h].view(np.int64) for h in has]), pa.array([rnd.integers(1, 4, h.sum()).astype(np.int32) for h in has])
+    length = np.array([c.values.to_numpy().sum() for c in counts])
+    batch = pa.RecordBatch.from_arrays([pa.array(rnd.permutation(400)), words, counts, pa.array(length)], names=["doc_id", "words", "counts", "length"])
+    lists = [np.flatnonzero(h).astype(np.int32) for h in has[:20]]
+    shared = SimpleNamespace(value=(terms, list(range(20)), lists, rnd.random(300) * 5))
+
+    def answers():
+        run = topk._searcher(shared, float(length.mean()), 5, [pa.int64(), pa.int64(), pa.float64()])
+        rows = [r for b in run(iter(batch.slice(i, 50) for i in range(0, 400, 50))) for r in b.to_pylist()]
+        return sorted((r["query_id"], -r["score"], r["doc_id"]) for r in rows)
+
+    one = answers()
+    monkeypatch.setattr(topk, "SHARD_DOCS", 100)
+    assert len(one) == 100 and [(q, d) for q, _, d in answers()] == [(q, d) for q, _, d in one]
+
+
+def test_hashes_are_ordered_also_if_only_their_lower_bits_differ():
+    rnd = np.random.default_rng(8)
+    for low in (1 << 3, 1 << 60):
+        words = (rnd.integers(0, 4, 500).astype(np.uint64) << np.uint64(61)) + rnd.integers(0, low, 500).astype(np.uint64)
+        assert topk._word_order(words).tolist() == np.argsort(words, kind="stable").tolist()
+    assert not len(topk._word_order(np.zeros(0, np.uint64)))
+
+
 # ---------------------------------------------------------------- op7
 
 
